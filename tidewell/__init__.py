@@ -1,3 +1,10 @@
 """A PySpark-native engine for remote analytics."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions of this package travel to executors whole, so nothing has to be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
