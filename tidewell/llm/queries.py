@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import quality_rules, suffix_dedup, token_output
+from . import near_dedup, quality_rules, suffix_dedup, token_output
 
 QUERIES = {
+    "op2_near_dedup": near_dedup.op2_near_dedup,
     "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op5_token_output": token_output.op5_token_output,
