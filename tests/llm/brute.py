@@ -49,3 +49,30 @@ def near(docs: list[tuple]) -> dict:
                 x, y = root(i), root(j)
                 of[max(x, y)] = min(x, y)
     return {i: (len(s), root(i)) for i, s in sets}
+
+KINDS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def _luhn(digits: str) -> bool:
+    return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(digits))) % 10 == 0
+
+
+def base_spans(text: str | None) -> list[tuple]:
+    """(start, kind's number, end) of the base spans."""
+    out = []
+    for k, (kind, pattern) in enumerate(KINDS.items()):
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m.group())
+            if kind == "ip" and any(int(p) > 255 for p in m.group().split(".")):
+                continue
+            if kind == "card" and not (12 <= len(digits) <= 19 and _luhn(digits)):
+                continue
+            if kind == "phone" and not 9 <= len(digits) <= 15:
+                continue
+            out.append((m.start(), k, m.end()))
+    return sorted(out)
