@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixture, near_dedup, pii, quality_model, quality_rules, suffix_dedup, token_output, toxicity
+from . import decontaminate, mixture, near_dedup, pii, quality_model, quality_rules, suffix_dedup, token_output, toxicity, url_filter
 
 QUERIES = {
+    "op1_url_filter": url_filter.op1_url_filter,
     "op2_near_dedup": near_dedup.op2_near_dedup,
     "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
     "op4_quality_rules": quality_rules.op4_quality_rules,
