@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 #: What separates words: space and tab to carriage return, of ASCII alone.
 SPACE = r"[ \t-\r]+"
 
+#: Rows of a batch for Python.
+BATCH_ROWS = 400
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -38,6 +41,12 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, its session now sending few whole texts at a time to Python, so that batches of long ones fit."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return df
+
+
 def let(value: Column, body) -> Column:
     """``body(x)`` with x bound to ``value``, computed once for each row."""
     return F.transform(F.array(value), body)[0]

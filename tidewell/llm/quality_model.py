@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textnp
-from .common import table
+from .common import small_batches, table
 
 SAMPLE = 20_000
 #: Rows of the table for words and for shapes, numbers in a vector, and neighbours on each side.
@@ -195,7 +195,7 @@ def labelled(labels: DataFrame, name: str) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, name: str = "quality", sample: int = SAMPLE) -> Model:
-    model = Model(word_vectors(docs))
+    model = Model(word_vectors(small_batches(docs)))
     chosen = F.broadcast(labelled(labels, name).orderBy(F.xxhash64("doc_id")).limit(sample))  # at most ``sample`` rows
     vectors = model.vectors
 
@@ -225,7 +225,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
             for at, to, data, offsets in textnp.pieces(textnp.column(batch, "text")):
                 yield pa.RecordBatch.from_arrays([textnp.column(batch, "doc_id").slice(at, to - at), pa.array(model.score(data, offsets, index))], ["doc_id", "score"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(score, "doc_id long, score double")
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(score, "doc_id long, score double")
 
 
 def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textnp
-from .common import table
+from .common import small_batches, table
 
 #: Labelled documents of each label for the fit.
 SAMPLE = 2500
@@ -267,7 +267,7 @@ def labelled(labels: DataFrame, name: str) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, name: str = "toxic", sample: int = SAMPLE) -> Model:
-    model = Model(character_model(docs))
+    model = Model(character_model(small_batches(docs)))
     every = labelled(labels, name)
     counts = {r.y: r.n for r in every.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not counts.get(0) or not counts.get(1):
@@ -322,7 +322,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
                 out[at:to] = model.score(*features(data, offsets, model.characters, known), to - at)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], [*batch.schema.names, "score"])
 
-    return docs.mapInArrow(score, ddl)
+    return small_batches(docs).mapInArrow(score, ddl)
 
 
 
