@@ -10,11 +10,14 @@ position would move some twenty times the text, so the first name is given at sa
    with one anchor are a run, a row of its own. Runs whose anchor's name is unique are dropped.
 2. *Names of whole runs*: all bytes of all strings of a run. A run that occurs twice is repeated
    throughout. What is left are runs at the edges of repeats.
-3. *Doubling at every position of those* and of one copy of each repeated run with such an anchor: names
-   of length/2, unique ones dropped, then pairs of names length/2 apart.
+3. *Longer names for those* and for one copy of each repeated run with such an anchor. They are parted
+   into blocks of BLOCK strings, counted from the anchor. The name of the bytes that all strings of a block
+   share drops blocks in which nothing is repeated, the name of the whole block settles those repeated
+   throughout, and in the few left each string of ``length`` bytes gets its name.
 
 A name is a content hash, so it needs no table of ranks and equal content has equal names everywhere;
-names that decide have 128 bits.
+names that decide have 128 bits. Strings grow from GRAM bytes to ``length`` in a few rounds, and a position
+leaves as soon as its name is unique or its fate is known.
 
 Nulls: a null text is empty. Texts of under ``length`` bytes lose nothing. Repeated rows count as
 occurrences of each other, also with equal or null doc_id; each row is returned. Other columns are ignored.
@@ -31,15 +34,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textnp
-from .common import table, written
+from .common import small_batches, table, written
 
-LENGTH, GRAM = 400, 128
+LENGTH, GRAM, BLOCK = 400, 128, 32
 #: Bits for the place of a gram within a piece, so a piece of a long text has at most half as many bytes.
 PLACE_BITS = 24
+#: Bytes of text hashed at a time.
+PIECE = 1 << 19
 MULT2 = np.uint64(0xD1342543DE82EF95)
 
-RUNS = pa.schema([("gram", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("doc_id", pa.int64()), ("dk", pa.int64()), ("p0", pa.int64()), ("n", pa.int32())])
-RUNS_DDL = "gram long, c1 long, c2 long, doc_id long, dk long, p0 long, n int"
+RUNS = pa.schema([("gram", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("doc_id", pa.int64()), ("dk", pa.int64()), ("p0", pa.int64()), ("n", pa.int32()), ("ahead", pa.int32()), ("times", pa.int32()), ("all", pa.int64())])
+RUNS_DDL = "gram long, c1 long, c2 long, doc_id long, dk long, p0 long, n int, ahead int, times int, all long"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -93,7 +98,7 @@ def anchors(data: np.ndarray, length: int, gram: int) -> tuple[Rolling, np.ndarr
 def _segments(batch: pa.RecordBatch, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
     """(bytes, offsets, rows, base): runs of documents, or a part of a long one that starts at ``base``."""
     most = 1 << (PLACE_BITS - 1)
-    for at, to, data, offsets in textnp.pieces(textnp.column(batch, "text")):
+    for at, to, data, offsets in textnp.pieces(textnp.column(batch, "text"), PIECE):
         if len(data) <= most:
             yield data, offsets, np.arange(at, to), 0
         else:
@@ -125,8 +130,12 @@ def anchored_runs(batches: Iterator[pa.RecordBatch], length: int = LENGTH, gram:
             shape = (a - p0).astype(np.uint64) * np.uint64(length) + n.astype(np.uint64)
             c1, c2 = first(p0, end) ^ textnp.mix(shape.copy()), second(p0, end) + shape
             doc = np.searchsorted(offsets, p0, "right") - 1
+            # Equal runs one after the other, as in texts with a period, are one row.
+            other = np.flatnonzero(np.r_[True, (c1[1:] != c1[:-1]) | (c2[1:] != c2[:-1]) | (doc[1:] != doc[:-1])])
+            times, whole = np.diff(np.r_[other, len(p0)]), np.add.reduceat(n, other)
+            p0, n, a, c1, c2, doc = (x[other] for x in (p0, n, a, c1, c2, doc))
             row = pa.array(rows[doc])
-            yield pa.RecordBatch.from_arrays([names[a].view(np.int64), c1.view(np.int64), c2.view(np.int64), doc_id.take(row), dk.take(row), p0 + base - offsets[doc], n.astype(np.int32)], schema=RUNS)
+            yield pa.RecordBatch.from_arrays([names[a].view(np.int64), c1.view(np.int64), c2.view(np.int64), doc_id.take(row), dk.take(row), p0 + base - offsets[doc], n.astype(np.int32), (a - p0).astype(np.int32), times.astype(np.int32), whole], schema=RUNS)
 
 
 def _merge(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -151,45 +160,72 @@ def cut(text: bytes, windows: list[tuple[int, int]], length: int) -> tuple[int,
 
 
 FULL, HARD, PARTNER = 0, 1, 2
-#: Rows of the second pass: a result, a position to be named, or a document that waits for its positions.
-SECOND = "step int, " + RESULT + ", dk long, text binary, done array<struct<p0: long, n: int>>, hard boolean, p long, l long, r long"
+#: Rows of the second pass: a result, a block to be named, or a document that waits for its blocks.
+SECOND = "step int, " + RESULT + ", dk long, text binary, done array<struct<p0: long, n: long>>, hard boolean, p0 long, n int, core long, w1 long, w2 long, names binary"
+_SECOND = pa.schema([
+    ("step", pa.int32()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()),
+    ("dk", pa.int64()), ("text", pa.binary()), ("done", pa.list_(pa.struct([("p0", pa.int64()), ("n", pa.int64())]))),
+    ("hard", pa.bool_()), ("p0", pa.int64()), ("n", pa.int32()), ("core", pa.int64()), ("w1", pa.int64()), ("w2", pa.int64()), ("names", pa.binary()),
+])
+
+
+def _rows(size: int, /, **columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in _SECOND], schema=_SECOND)
+
+
+def blocks(text: bytes, runs: list[dict], length: int) -> dict:
+    """The blocks of strings of ``runs``, with the names of what they share, of the whole and of each string."""
+    p = np.concatenate([np.arange(r["p0"], r["p0"] + r["n"]) for r in runs])
+    n = [r["n"] for r in runs]
+    anchor = np.repeat([r["p0"] + r["ahead"] for r in runs], n)
+    hard = np.repeat([r["kind"] == HARD for r in runs], n)
+    block = (anchor - p) // BLOCK
+    new = np.flatnonzero(np.r_[True, (block[1:] != block[:-1]) | (anchor[1:] != anchor[:-1])])
+    size = np.diff(np.r_[new, len(p)])
+    data = np.frombuffer(text, np.uint8)
+    first, second = Rolling(data), Rolling(data, MULT2)
+    names = first(p, p + length)
+    start, end = p[new], p[new] + size - 1 + length
+    core = anchor[new] - block[new] * BLOCK
+    shape = (anchor[new] - start).astype(np.uint64) * np.uint64(length) + size.astype(np.uint64)
+    w1, w2 = first(start, end) ^ textnp.mix(shape.copy()), second(start, end) + shape
+    return {
+        "hard": hard[new], "p0": start, "n": size.astype(np.int32), "core": first(core, core - BLOCK + 1 + length).view(np.int64),
+        "w1": w1.view(np.int64), "w2": w2.view(np.int64), "names": [names[i : i + k].tobytes() for i, k in zip(new, size)],
+    }
 
 
 def _second_pass(length: int):
-    half = length // 2
-    done_type = pa.list_(pa.struct([("p0", pa.int64()), ("n", pa.int32())]))
-    schema = pa.schema([("step", pa.int32()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("dk", pa.int64()), ("text", pa.binary()), ("done", done_type), ("hard", pa.bool_()), ("p", pa.int64()), ("l", pa.int64()), ("r", pa.int64())])
-
-    def rows(n: int, **columns) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
-
     def pass_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = {k: [] for k in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")}
             for doc_id, dk, text, runs in zip(*(textnp.column(batch, c) for c in ("doc_id", "dk", "text", "runs"))):
-                doc_id, text, runs = doc_id.as_py(), text.as_py() or "", runs.as_py() or []
-                text = text.encode() if isinstance(text, str) else text
-                done = [(r["p0"], r["n"]) for r in runs if r["kind"] != HARD]
-                named = [r for r in runs if r["kind"] != FULL]
-                if named:
-                    p = np.concatenate([np.arange(r["p0"], r["p0"] + r["n"]) for r in named])
-                    hard = np.repeat([r["kind"] == HARD for r in named], [r["n"] for r in named])
-                    name = Rolling(np.frombuffer(text, np.uint8))
-                    l, r = _names(name, p, half), _names(name, p + half, length - half)
-                    yield rows(len(p), step=np.full(len(p), 1, np.int32), doc_id=[doc_id] * len(p), dk=[dk.as_py()] * len(p), hard=hard, p=p, l=l, r=r)
+                doc_id, dk, text, runs = doc_id.as_py(), dk.as_py(), text.as_py().encode(), runs.as_py() or []
+                done = [(r["p0"], r["all"]) for r in runs if r["kind"] != HARD]
+                if named := [r for r in runs if r["kind"] != FULL]:
+                    own = blocks(text, named, length)
+                    n = len(own["n"])
+                    yield _rows(n, step=np.full(n, 1, np.int32), doc_id=[doc_id] * n, dk=[dk] * n, **own)
                 if any(r["kind"] == HARD for r in runs):
-                    yield rows(1, step=[2], doc_id=[doc_id], dk=[dk.as_py()], text=[text], done=[[{"p0": a, "n": n} for a, n in done]])
+                    yield _rows(1, step=[2], doc_id=[doc_id], dk=[dk], text=[text], done=[[{"p0": a, "n": n} for a, n in done]])
                 else:
                     for k, v in zip(out, (doc_id, *cut(text, done, length))):
                         out[k].append(v)
             n = len(out["doc_id"])
-            yield rows(n, step=np.zeros(n, np.int32), **out)
+            yield _rows(n, step=np.zeros(n, np.int32), **out)
 
     return pass_
 
 
-def _names(rolling: Rolling, p: np.ndarray, length: int) -> np.ndarray:
-    return rolling(p, p + length).view(np.int64)
+def each_string(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The strings of blocks, a row for each: (doc_id, dk, hard, p, core, name)."""
+    for batch in batches:
+        size = textnp.column(batch, "n").to_numpy()
+        row = np.repeat(np.arange(batch.num_rows), size)
+        p = np.repeat(textnp.column(batch, "p0").to_numpy(), size) + np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+        names = np.frombuffer(b"".join(textnp.column(batch, "names").to_pylist()), np.int64)
+        own = [textnp.column(batch, c).take(pa.array(row)) for c in ("doc_id", "dk", "hard", "core")]
+        yield pa.RecordBatch.from_arrays([*own, pa.array(p, pa.int64()), pa.array(names)], ["doc_id", "dk", "hard", "core", "p", "name"])
 
 
 def _last_pass(length: int):
@@ -199,7 +235,7 @@ def _last_pass(length: int):
         for batch in batches:
             out = []
             for doc_id, text, done, found in zip(*(textnp.column(batch, c) for c in ("doc_id", "text", "done", "found"))):
-                windows = [(d["p0"], d["n"]) for d in done.as_py() or []] + [(p, 1) for p in found.as_py() or []]
+                windows = [(d["p0"], d["n"]) for d in [*(done.as_py() or []), *(found.as_py() or [])]]
                 out.append(dict(zip(schema.names, (doc_id.as_py(), *cut(text.as_py(), windows, length)))))
             yield pa.RecordBatch.from_pylist(out, schema)
 
@@ -208,28 +244,33 @@ def _last_pass(length: int):
 
 def removed(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """A row for each row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("dk", F.xxhash64("text"))
+    docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("dk", F.xxhash64("text"))
     runs = written(docs.mapInArrow(lambda b: anchored_runs(b, length, gram), RUNS_DDL))
 
     # Names of grams, then of runs. A hot name has many rows, so it is counted before it is joined.
-    again = runs.groupBy("gram").count().where("count > 1").select("gram")
+    again = written(runs.groupBy("gram").agg(F.sum("times").alias("times")).where("times > 1").select("gram"))
     runs = written(runs.join(again, "gram"))
-    whole = runs.groupBy("gram", "c1", "c2").agg(F.count("*").alias("times"), F.min(F.struct("doc_id", "dk", "p0")).alias("copy"))
+    whole = runs.groupBy("gram", "c1", "c2").agg(F.sum("times").alias("times"), F.min(F.struct("doc_id", "dk", "p0")).alias("copy"))
     edges = whole.groupBy("gram").agg((F.min("times") == 1).alias("edge"))
-    whole = whole.join(edges, "gram")
+    whole = written(whole.join(edges, "gram"))
     mine = F.struct("doc_id", "dk", "p0").eqNullSafe(F.col("copy"))
     kind = F.when(F.col("times") == 1, HARD).when(F.col("edge") & mine, PARTNER).otherwise(FULL)
-    by_doc = runs.join(whole, ["gram", "c1", "c2"]).select("doc_id", "dk", F.struct("p0", "n", kind.alias("kind")).alias("run")).groupBy("doc_id", "dk").agg(F.collect_list("run").alias("runs"))
+    by_doc = runs.drop("times").join(whole, ["gram", "c1", "c2"]).select("doc_id", "dk", F.struct("p0", "n", "ahead", "all", kind.alias("kind")).alias("run")).groupBy("doc_id", "dk").agg(F.collect_list("run").alias("runs"))
 
     null_safe = lambda a, b: a.doc_id.eqNullSafe(b.doc_id) & (a.dk == b.dk)
     second = docs.join(by_doc, null_safe(docs, by_doc), "left").select(docs.doc_id, docs.dk, "text", "runs")
     second = written(second.mapInArrow(_second_pass(length), SECOND))
 
-    # Doubling: names of half the length, then of pairs of them.
-    names = second.where("step = 1").select("doc_id", "dk", "hard", "p", "l", "r")
-    names = names.join(names.groupBy("l").count().where("count > 1").select("l"), "l")
-    found = names.where("hard").join(names.groupBy("l", "r").count().where("count > 1").select("l", "r"), ["l", "r"])
-    found = found.groupBy("doc_id", "dk").agg(F.collect_list("p").alias("found"))
+    # Names of blocks, then of single strings.
+    parts = second.where("step = 1").select("doc_id", "dk", "hard", "p0", "n", "core", "w1", "w2", "names")
+    parts = parts.join(parts.groupBy("core").agg(F.count("*").alias("count"), F.max("hard").alias("any_hard")).where("count > 1 AND any_hard").select("core"), "core")
+    parts = written(parts.join(parts.groupBy("core", "w1", "w2").agg(F.count("*").alias("times"), F.min(F.struct("doc_id", "dk", "p0")).alias("copy")), ["core", "w1", "w2"]))
+    settled = parts.where("hard AND times > 1").select("doc_id", "dk", "p0", "n")
+    rest = parts.where((F.col("times") == 1) | F.struct("doc_id", "dk", "p0").eqNullSafe(F.col("copy"))).select("doc_id", "dk", (F.col("hard") & (F.col("times") == 1)).alias("hard"), "p0", "n", "core", "names")
+    strings = written(rest.mapInArrow(each_string, "doc_id long, dk long, hard boolean, core long, p long, name long"))
+    again = strings.groupBy("core", "name").count().where("count > 1").select("core", "name")
+    found = strings.where("hard").join(again, ["core", "name"]).select("doc_id", "dk", F.col("p").alias("p0"), F.lit(1).alias("n"))
+    found = settled.unionByName(found).groupBy("doc_id", "dk").agg(F.collect_list(F.struct("p0", "n")).alias("found"))
     waiting = second.where("step = 2").select("doc_id", "dk", "text", "done")
     last = waiting.join(found, null_safe(waiting, found), "left").select(waiting.doc_id, "text", "done", "found").mapInArrow(_last_pass(length), RESULT)
     return second.where("step = 0").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").unionByName(last)
