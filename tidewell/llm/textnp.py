@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +24,14 @@ LOWER[65:91] += 32
 PIECE = 2 << 20
 
 
+def kept(key: str, make):
+    """``make()``, once for each Python worker: its later tasks get the same object."""
+    own = sys.modules.setdefault("tidewell_worker", types.ModuleType("tidewell_worker")).__dict__
+    if key not in own:
+        own[key] = make()
+    return own[key]
+
+
 def powers(n: int, base: np.uint64 = MULT) -> np.ndarray:
     """base**0, base**1, ... modulo 2**64."""
     out = np.full(n, base, np.uint64)

@@ -26,7 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_dir
+from .common import shared_dir, small_batches
+from .textnp import kept, pieces
 
 #: Documents for the dictionary, and bytes of it.
 SAMPLE_DOCS, DICT_BYTES = 1000, 64 << 10
@@ -34,8 +35,10 @@ SAMPLE_DOCS, DICT_BYTES = 1000, 64 << 10
 SAMPLE_BYTES = 64 << 10
 #: Bytes of text in a shard.
 SHARD_BYTES = 8 << 20
+#: Of zstandard.
+LEVEL = 1
 #: Words whose ids a worker remembers.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 1_400_000
 
 SHARDS = pa.schema([("shard", pa.int64()), ("part", pa.int32()), ("n_ids", pa.int64()), ("width", pa.int32()), ("dict_sha256", pa.string()), ("doc_ids", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())), ("payload", pa.binary())])
 SHARDS_DDL = "shard long, part int, n_ids long, width int, dict_sha256 string, doc_ids array<long>, ends array<long>, counts array<long>, payload binary"
@@ -50,8 +53,10 @@ def tokenizer_path() -> str:
 class Encoder:
     """Ids of texts by the tokenizers library, as little-endian uint32 bytes.
 
-    The pre-tokenizer never joins what a single space between two other characters parts, so each
-    ``" word"`` is encoded once and remembered. A text with any other use of blanks goes to the library whole.
+    The pre-tokenizer never joins what a single space or line end between two other characters parts, nor a
+    word of letters and the one mark after it. So each such part is encoded once and its ids are remembered;
+    a text's first part stands after a line end, whose id is cut off again. A text with any other use of
+    blanks goes to the library whole.
     """
 
     def __init__(self, path: str):
@@ -62,28 +67,66 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        self.line_end = len(self.library(["\n"])[0])
+        #: Whether an id's bytes begin with a space or a line end, as no id within a part does.
+        self.begins = np.array([t[:1] in ("\u0120", "\u010a") for t, _ in sorted(self.tokenizer.get_vocab().items(), key=lambda x: x[1])])
+        self.marks = dict(zip(".,;:!?", self.library(list(".,;:!?"))))
+        #: By a word after a space, or a line end and the word after it.
         self.known: dict[str, bytes] = {}
 
     def library(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def __call__(self, text: str) -> bytes:
-        first, *rest = text.split(" ")
-        if not first or not all(rest) or any(map(_blank_edge, rest)) or first[-1].isspace():
-            return self.library([text])[0]
-        known = self.known
-        try:
-            return self.library([first])[0] + b"".join([known[w] for w in rest])
-        except KeyError:
-            if len(known) > CACHE_WORDS:
-                known.clear()
-            new = [w for w in set(rest) if w not in known]
-            known.update(zip(new, self.library([" " + w for w in new])))
-            return self.library([first])[0] + b"".join([known[w] for w in rest])
-
-
-def _blank_edge(word: str) -> bool:
-    return word[0].isspace() or word[-1].isspace()
+    def parts(self, parts: list[str]) -> list[bytes]:
+        """As ``library``, for parts that begin with a blank and hold no other: many in one text, then set apart."""
+        out: list[bytes] = []
+        for at in range(0, len(parts), 500):
+            own = parts[at : at + 500]
+            raw = self.library(["".join(own)])[0]
+            starts = (4 * np.flatnonzero(self.begins[np.frombuffer(raw, "<u4")])).tolist()
+            out += [raw[a:b] for a, b in zip(starts, [*starts[1:], len(raw)])] if len(starts) == len(own) else self.library(own)
+        return out
+
+    def learn(self, new: set[str]) -> dict[str, bytes]:
+        """The ids of ``new`` parts; the commonest parts come early, so they are remembered while there is room."""
+        known, marks = self.known, self.marks
+        marked = [w for w in new if w[-1] in marks and w[:-1].isalpha()]
+        plain = list({w[:-1] for w in marked}.union(new).difference(marked).difference(known))
+        own = dict(zip(plain, self.parts([w if w[0] == "\n" else " " + w for w in plain])))
+        for w in marked:
+            own[w] = (own.get(w[:-1]) or known[w[:-1]]) + marks[w[-1]]
+        if len(known) < CACHE_WORDS:
+            known.update(own)
+        return own
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        get, new, out, open_ = self.known.get, set(), [b""] * len(texts), []
+        whole = [i for i, text in enumerate(texts) if text and odd_blanks(text)]
+        apart = set(whole)
+        for i, text in enumerate(texts):
+            if text and i not in apart:
+                parts = ("\n" + text).replace("\n", " \n").split(" ")[1:]
+                ids = list(map(get, parts))
+                if None in ids:
+                    new.update(w for w, x in zip(parts, ids) if x is None)
+                    open_.append((i, parts, ids))
+                else:
+                    out[i] = b"".join(ids)[self.line_end :]
+        own = self.learn(new)
+        for i, parts, ids in open_:
+            out[i] = b"".join([own[w] if x is None else x for w, x in zip(parts, ids)])[self.line_end :]
+        for i, ids in zip(whole, self.library([texts[i] for i in whole])):
+            out[i] = ids
+        return out
+
+
+#: Blanks besides the space and the line end.
+OTHER_BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
+
+
+def odd_blanks(text: str) -> bool:
+    """Whether blanks stand together, at an end of the text, or are others than spaces and line ends."""
+    return text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n\n" in text or " \n" in text or "\n " in text or any(c in text for c in OTHER_BLANKS)
 
 
 def serialize(ids: bytes, width: int) -> bytes:
@@ -94,14 +137,17 @@ def train_dictionary(docs: DataFrame, path: str, end_id: int, width: int) -> byt
     """A dictionary from the SAMPLE_DOCS documents whose ids have the smallest hashes: a bounded sample of all."""
     import zstandard
 
-    short = docs.select(F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("doc_id").alias("h")).where(F.octet_length("text") <= SAMPLE_BYTES)
-    rows = short.orderBy("h").limit(SAMPLE_DOCS).collect()
-    encode = Encoder(path)
-    samples = [serialize(encode(r.text) + np.uint32(end_id).tobytes(), width) for r in rows]
-    try:
-        return zstandard.train_dictionary(DICT_BYTES, samples).as_bytes()
-    except zstandard.ZstdError:  # too few samples to train on
-        return b"".join(samples)[:DICT_BYTES]
+    hashed = docs.withColumn("h", F.xxhash64("doc_id"))
+    least = [r.h for r in hashed.select("h").distinct().orderBy("h").limit(SAMPLE_DOCS).collect()]
+    short = hashed.where((F.col("h") <= F.lit(max(least, default=0))) & (F.octet_length("text") <= SAMPLE_BYTES))
+    rows = short.select("text", "h").dropDuplicates(["h"]).orderBy("h").limit(SAMPLE_DOCS).collect()
+    samples = [serialize(own + np.uint32(end_id).tobytes(), width) for own in Encoder(path)([r.text for r in rows])]
+    if len(samples) >= 8:
+        try:
+            return zstandard.train_dictionary(DICT_BYTES, samples).as_bytes()
+        except zstandard.ZstdError:  # samples too short to train on
+            pass
+    return b"".join(samples)[:DICT_BYTES]
 
 
 def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 0, width: int = 2, partitions: int | None = None) -> None:
@@ -116,11 +162,11 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        encode, compress, part = Encoder(tokenizer), None, 0
+        encode, part = kept(f"encoder {tokenizer}", lambda: Encoder(tokenizer)), 0
         if dictionary:
-            compress = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(dictionary)).compress
+            compress = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary)).compress
         else:
-            compress = zstandard.ZstdCompressor(level=3).compress
+            compress = zstandard.ZstdCompressor(level=LEVEL).compress
         ids, frames, counts, size = [], [], [], 0
 
         def shard() -> pa.RecordBatch:
@@ -129,41 +175,39 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
             return pa.RecordBatch.from_pylist([{"shard": key, "part": part, "n_ids": sum(counts), "width": width, "dict_sha256": sha, "doc_ids": ids, "ends": ends, "counts": counts, "payload": b"".join(frames)}], SHARDS)
 
         for batch in batches:
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                text = text.as_py() or ""
-                own = encode(text) + end
-                ids.append(i)
-                frames.append(compress(serialize(own, width)))
-                counts.append(len(own) // 4)
-                size += len(text)
-                if size >= SHARD_BYTES:
-                    yield shard()
-                    ids, frames, counts, size, part = [], [], [], 0, part + 1
+            for at, to, _, _ in pieces(batch.column(1)):
+                texts = [t or "" for t in batch.column(1).slice(at, to - at).to_pylist()]
+                for i, text, own in zip(batch.column(0).slice(at, to - at).to_pylist(), texts, encode(texts)):
+                    own += end
+                    ids.append(i)
+                    frames.append(compress(serialize(own, width)))
+                    counts.append(len(own) // 4)
+                    size += len(text)
+                    if size >= SHARD_BYTES:
+                        yield shard()
+                        ids, frames, counts, size, part = [], [], [], 0, part + 1
         if ids:
             yield shard()
 
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    (small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
      .repartitionByRange(n, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
      .mapInArrow(shards, SHARDS_DDL).write.parquet(f"{path}/shards"))
 
 
-def frames(spark: SparkSession, path: str) -> tuple[DataFrame, bytes]:
-    """The shards with ``start``, the ids in all shards before each, and the dictionary."""
+def open_dictionary(spark: SparkSession, path: str) -> tuple[bytes, str]:
+    """The dictionary of a file set and its hash."""
     row = spark.read.parquet(f"{path}/dictionary").head()
     if hashlib.sha256(row.dictionary).hexdigest() != row.sha256:
         raise ValueError(f"the dictionary of {path} is damaged")
-    shards = spark.read.schema(SHARDS_DDL).parquet(f"{path}/shards")
-    # One row for each SHARD_BYTES of text: the order of shards alone is summed in one task.
-    order = Window.orderBy(F.col("shard").asc_nulls_first(), "part")
-    starts = shards.select("shard", "part", F.coalesce(F.sum("n_ids").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"))
-    return shards.join(starts, shards.shard.eqNullSafe(starts.shard) & (shards.part == starts.part)).select(shards["*"], "start"), bytes(row.dictionary)
+    return bytes(row.dictionary), row.sha256
 
 
 def read(spark: SparkSession, path: str, ids: bool = False) -> DataFrame:
     """A row for each document: doc_id, start, n_tokens, ids_crc32, and with ``ids`` the ids themselves."""
-    shards, dictionary = frames(spark, path)
-    sha = hashlib.sha256(dictionary).hexdigest()
+    dictionary, sha = open_dictionary(spark, path)
+    names = ["shard", "part", "doc_id", "inside", "n_tokens", "ids_crc32", *(["ids"] if ids else [])]
+    schema = pa.schema([(n, pa.list_(pa.int64()) if n == "ids" else pa.int64()) for n in names])
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -174,18 +218,24 @@ def read(spark: SparkSession, path: str, ids: bool = False) -> DataFrame:
                 r = {n: batch.column(i)[k].as_py() for i, n in enumerate(batch.schema.names)}
                 if r["dict_sha256"] != sha:
                     raise ValueError("a shard was written under another dictionary")
-                start, at, out = r["start"], 0, {n: [] for n in ("doc_id", "start", "n_tokens", "ids_crc32", *(["ids"] if ids else []))}
+                inside, at, out = 0, 0, {n: [] for n in names}
                 for doc_id, end, count in zip(r["doc_ids"], r["ends"], r["counts"]):
                     own = np.frombuffer(opened.decompress(r["payload"][at:end], max_output_size=count * r["width"]), f"<u{r['width']}").astype("<u4")
                     if len(own) != count:
                         raise ValueError(f"document {doc_id} has {len(own)} ids, the index says {count}")
-                    values = (doc_id, start, count, zlib.crc32(own.tobytes()))
-                    for n, v in zip(out, (*values, own.tolist())):
+                    for n, v in zip(names, (r["shard"], r["part"], doc_id, inside, count, zlib.crc32(own.tobytes()), own.tolist() if ids else None)):
                         out[n].append(v)
-                    start, at = start + count, end
-                yield pa.RecordBatch.from_pydict(out, pa.schema([(n, pa.list_(pa.int64()) if n == "ids" else pa.int64()) for n in out]))
+                    inside, at = inside + count, end
+                yield pa.RecordBatch.from_pydict(out, schema)
 
-    return shards.mapInArrow(documents, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * ids)
+    shards = spark.read.schema(SHARDS_DDL).parquet(f"{path}/shards")
+    # One row for each SHARD_BYTES of text: only the order of shards is summed in one task.
+    before = F.sum("n_ids").over(Window.orderBy(F.col("shard").asc_nulls_first(), "part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = shards.select("shard", "part", F.coalesce(before, F.lit(0)).alias("before"))
+    ddl = "shard long, part long, doc_id long, inside long, n_tokens long, ids_crc32 long" + ", ids array<long>" * ids
+    rows = shards.mapInArrow(documents, ddl)
+    found = rows.join(starts, rows.shard.eqNullSafe(starts.shard) & (rows.part == starts.part))
+    return found.select("doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if ids else []))
 
 
 def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
