@@ -11,27 +11,30 @@ from tidewell.llm.common import shared_dir, table, written
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are more likely toxic than not go."""
-    scored = toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
-    return scored.where("score < 0.5").select(*docs.columns)
+    name = "score"
+    while name in docs.columns:
+        name += "_"
+    scored = toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), name)
+    return scored.where(F.col(name) < 0.5).drop(name)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, on five-word shingles; so does one row of each id."""
     kept = near_dedup.near_duplicates(docs).where("kept").select("doc_id").distinct()
     own = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return own.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    return own.unionByName(docs.where("doc_id IS NULL"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which a twentieth or more of the words are in benchmark windows go."""
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.where(decontaminate.CONTAMINATED).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(found.where(decontaminate.CONTAMINATED).select("doc_id").distinct(), "doc_id", "left_anti")
 
 
 def mixture_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Four fifths of the tokens by the production weights, no document twice."""
     once = mixture.Mixture(mixture.PRODUCTION.weights, mixture.PRODUCTION.budget, max_epochs=1)
-    return mixture.mixed(docs, once).select(*docs.columns)
+    return mixture.mixed(docs, once)
 
 
 def token_output_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -76,3 +76,52 @@ def base_spans(text: str | None) -> list[tuple]:
                 continue
             out.append((m.start(), k, m.end()))
     return sorted(out)
+
+WORD7 = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def contamination(docs: list[tuple], items: list[tuple], window: int = 13) -> list[tuple]:
+    """(doc_id, n_words, n_hit, item ids)."""
+    grams: dict = {}
+    for item, text in items:
+        w = WORD7.findall(lower(text or ""))
+        k = min(window, len(w))
+        for s in range(len(w) - k + 1 if k else 0):
+            grams.setdefault((k, tuple(w[s : s + k])), set()).add(str(item))
+    out = []
+    for i, text in docs:
+        w = WORD7.findall(lower(text or ""))
+        hit, found = set(), set()
+        for k in {k for k, _ in grams}:
+            for s in range(len(w) - k + 1):
+                if own := grams.get((k, tuple(w[s : s + k]))):
+                    hit |= set(range(s, s + k))
+                    found |= own
+        out.append((i, len(w), len(hit), sorted(found)))
+    return out
+
+
+def quality(text: str | None) -> tuple:
+    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words)."""
+    text = text or ""
+    w = WORD.findall(text)
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    grams = Counter(zip(w, w[1:], w[2:]))
+    covered = {j for i in range(len(w) - 2) if grams[tuple(w[i : i + 3])] > 1 for j in (i, i + 1, i + 2)}
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered)
+
+
+def url_rule(url: str | None, rules: list[tuple]) -> tuple:
+    """(host, path, rule, verdict) by the given rules."""
+    host = path = ""
+    if url and "://" in url:
+        rest = url.split("://", 1)[1]
+        host = re.match("[^/?#]*", rest).group()
+        path = re.match("[^?#]*", rest[len(host) :]).group()
+        host = lower(host)
+    best = (None, None)
+    for verdict, rule in rules:
+        h, _, p = rule.partition("/")
+        if (host == h or host.endswith("." + h)) and path.startswith("/" + p) and len(rule) > len(best[0] or ""):
+            best = (rule, verdict)
+    return host, path, *best

@@ -6,8 +6,8 @@ goes to its siblings by their weights, and only what none of them can take to th
 Each leaf fills its budget with whole epochs and the prefix of one more, in an order seeded by
 (seed, epoch): the documents whose running sum of tokens stays within what is left.
 
-Documents are never sorted as a whole. Each leaf's order is cut into buckets of hashes; sums of
-buckets tell in which the prefix ends, and only that one is summed document by document. So a leaf is kept
+Documents are never sorted as a whole. Each leaf's order of n documents is cut into sqrt(n) buckets of
+hashes; sums of buckets tell in which the prefix ends, and only that one is summed document by document. So a leaf is kept
 by a bound on the hash, and documents meet a table of leaves alone.
 
 Nulls: a null level is the child ``(none)``; a null text has no tokens and goes with its leaf. Rows that tie
@@ -18,15 +18,13 @@ Other columns stay.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table, words, written
 
-#: Documents of a bucket, about.
-BUCKET_DOCS = 4096
-
 
 def default_domain() -> Column:
     """The domain of a source: its name picks one of four."""
@@ -84,18 +82,18 @@ def _order(seed: int, epoch: Column) -> Column:
     return F.shiftright(F.xxhash64(F.lit(seed), epoch, "doc_id"), 2) + F.lit(1 << 61)
 
 
-def mixed(docs: DataFrame, mixture: Mixture, domain: Column | None = None, tokens: Column | None = None) -> DataFrame:
-    """The rows of ``docs``, one for each epoch that takes them, with domain_, tokens_ and epoch_."""
+def mixed(docs: DataFrame, mixture: Mixture, domain: Column | None = None, tokens: Column | None = None, info: bool = False) -> DataFrame:
+    """The rows of ``docs``, one for each epoch that takes them; with ``info`` as ``row``, and domain, n_tokens and epoch beside it."""
     spark = docs.sparkSession
     levels = [F.coalesce(c.cast("string"), F.lit("(none)")) for c in (default_domain() if domain is None else domain, F.col("lang"), F.col("source"))]
     tokens = F.size(words(F.col("text"))).cast("long") if tokens is None else tokens
     names = ["l0", "l1", "l2"]
-    leafed = docs.select("*", *(c.alias(n) for c, n in zip(levels, names)))
-    narrow = written(leafed.select(*names, "doc_id", tokens.alias("n")))
+    leafed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *(c.alias(n) for c, n in zip(levels, names)), "doc_id", tokens.alias("n"))
+    narrow = written(leafed.select(*names, "doc_id", "n"))
     leaves = {(r.l0, r.l1, r.l2): r for r in narrow.groupBy(*names).agg(F.sum("n").alias("n"), F.count("*").alias("docs")).collect()}  # a row for each source
     total = sum(r.n for r in leaves.values())
     budgets = allocate({k: r.n for k, r in leaves.items()}, mixture, total * mixture.budget[0] // mixture.budget[1])
-    rows = [(*k, budgets[k] // r.n if r.n else 0, budgets[k] % r.n if r.n else 0, max(1, r.docs // BUCKET_DOCS)) for k, r in leaves.items()]
+    rows = [(*k, budgets[k] // r.n if r.n else 0, budgets[k] % r.n if r.n else 0, isqrt(r.docs)) for k, r in leaves.items()]
     plan = spark.createDataFrame(rows, "l0 string, l1 string, l2 string, epochs long, rest long, buckets long")
 
     # The bucket in which each leaf's prefix ends, then the last hash that is in it.
@@ -111,7 +109,8 @@ def mixed(docs: DataFrame, mixture: Mixture, domain: Column | None = None, token
     chosen = leafed.join(F.broadcast(bounds), names)
     extra = (F.col("more") & (_order(mixture.seed, F.col("epochs")) < F.col("bound"))).cast("long")
     chosen = chosen.withColumn("taken", F.col("epochs") + extra).where("taken > 0")
-    return chosen.withColumn("epoch_", F.explode(F.sequence(F.lit(0).cast("long"), F.col("taken") - 1))).select(*(docs[c] for c in docs.columns), F.col("l0").alias("domain_"), tokens.alias("tokens_"), "epoch_")
+    chosen = chosen.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("taken") - 1)))
+    return chosen.select("row", F.col("l0").alias("domain"), F.col("n").alias("n_tokens"), "epoch") if info else chosen.select("row.*")
 
 
 #: Production weights: domains to each other, and English to the other languages within the web.
@@ -119,5 +118,5 @@ PRODUCTION = Mixture(weights={("web",): 4, ("books",): 2, ("news",): 3, ("forum"
 
 
 def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = mixed(table(spark, sf_dir, "documents"), PRODUCTION)
-    return out.select("doc_id", F.col("domain_").alias("domain"), "lang", "source", F.col("epoch_").alias("epoch"), F.col("tokens_").alias("n_tokens"))
+    out = mixed(table(spark, sf_dir, "documents"), PRODUCTION, info=True)
+    return out.select("row.doc_id", "domain", "row.lang", "row.source", "epoch", "n_tokens")

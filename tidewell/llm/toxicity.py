@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import textnp
 from .common import small_batches, table
@@ -115,11 +116,17 @@ def lattice(word: str, apart: bool = False) -> list[list[tuple[str, float]]]:
 
 
 def restored(word: str, apart: bool, model: np.ndarray, known: dict) -> str:
+    """The readings of a disguised word, a blank between them.
+
+    Letters that were set apart are read as one word, with and without the letters at its ends, which may be
+    words of their own, and as the likeliest words.
+    """
     key = (apart, word)
     if key not in known:
         if len(known) > 50_000:
             known.clear()
-        known[key] = decode(lattice(word, apart), model)
+        reads = [(word, False), (word[1:], False), (word[:-1], False), (word, True)] if apart else [(word, False)]
+        known[key] = " ".join(dict.fromkeys(decode(lattice(*r), model) for r in reads))
     return known[key]
 
 
@@ -310,9 +317,9 @@ def hash_part(doc_id: int) -> int:
     return int(textnp.mix(np.array([doc_id]).astype(np.uint64))[0] >> np.uint64(63))
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``score``, 0 to 1."""
-    ddl = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes) + ", `score` double"
+def scored(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """``docs`` with a score of 0 to 1 as the column ``name``, which it mustn't have yet."""
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict = {}
@@ -320,9 +327,9 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
             out = np.zeros(batch.num_rows)
             for at, to, data, offsets in textnp.pieces(textnp.column(batch, "text")):
                 out[at:to] = model.score(*features(data, offsets, model.characters, known), to - at)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], [*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], [*batch.schema.names, name])
 
-    return small_batches(docs).mapInArrow(score, ddl)
+    return small_batches(docs).mapInArrow(score, schema)
 
 
 
