@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm import decontaminate, mixture, near_dedup, token_output, toxicity
-from tidewell.llm.common import shared_dir, table, written
+from tidewell.llm.common import WRITTEN, drop, shared_dir, table, written
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +57,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, own = table(spark, sf_dir, "documents"), len(WRITTEN)
     for _, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir))
+        drop(spark, WRITTEN[own:-1])  # all but this stage's result
     return docs

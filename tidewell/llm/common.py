@@ -34,13 +34,26 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/tidewell-{uuid.uuid4().hex}"
 
 
+#: Folders of the tables that ``written`` made and ``drop`` hasn't removed.
+WRITTEN: list[str] = []
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a table in the shared folder: it cuts the lineage and outlives a lost executor."""
     path = shared_dir(df.sparkSession)
     df.write.parquet(path)
+    WRITTEN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop(spark: SparkSession, paths: list[str]) -> None:
+    """Remove written tables that no DataFrame still in use reads."""
+    for p in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    WRITTEN[:] = [p for p in WRITTEN if p not in paths]
+
+
 def small_batches(df: DataFrame) -> DataFrame:
     """``df``, its session now sending few whole texts at a time to Python, so that batches of long ones fit."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
