@@ -38,10 +38,17 @@ def shared_dir(spark: SparkSession) -> str:
 WRITTEN: list[str] = []
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` as a table in the shared folder: it cuts the lineage and outlives a lost executor."""
-    path = shared_dir(df.sparkSession)
-    df.write.parquet(path)
+def written(df: DataFrame, narrow: bool = False) -> DataFrame:
+    """``df`` as a table in the shared folder: it cuts the lineage and outlives a lost executor.
+
+    ``narrow``: the rows of a shuffle that are a few numbers each; a dozen of its partitions share a file.
+    """
+    path, spark = shared_dir(df.sparkSession), df.sparkSession
+    if narrow:
+        files = max(3 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 12)
+        df.coalesce(files).write.parquet(path)
+    else:
+        df.write.parquet(path)
     WRITTEN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -16,13 +16,13 @@ def _lower(both: DataFrame, kept: str) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component), the least node reachable, for the nodes of ``edges`` (u, v)."""
-    now = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    now = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), True)
     mark = None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _lower(both, "v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         small = _lower(large, "true")
-        now = written(small.select("u", F.col("m").alias("v")).unionByName(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct())
+        now = written(small.select("u", F.col("m").alias("v")).unionByName(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct(), True)
         # The stars no longer change once each node hangs from the least of its component.
         found = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h")).head()
         if found == mark:

@@ -3,12 +3,16 @@
 A document's set holds its distinct shingles; the K least hashes of it are its sketch. Documents with
 equal sets are one class, represented by its least id. Between classes:
 
-1. *Inverted lists.* Two sets of similarity t share so many retained values (all but surely: K * t less
-   six deviations; exactly, if the sketch is the whole set) that they meet in the list of a rare one. So
-   each class stands only in the lists of its rarest values, and values that one class alone has make none.
-2. *Links.* A list is first held against its least member. Where members are then still in different
-   components, the members of different components are held against each other; so a group of near copies
-   of any size makes about one pair for each copy, and no link between components is lost.
+1. *Inverted lists.* Retained values fall into K buckets by other bits of their hash, and the values of a
+   bucket that holds two or more are a list's key: single values are shared by chance too often. Sets of
+   similarity 0.8 share some 11 of 17 such keys, and none in one of 10**8 pairs. A set of at most
+   K / similarity shingles has its rarest values as keys besides, as many as any linked set must meet.
+2. *Links.* In rounds, each list is held against PIVOTS of its members, until that finds few links. Members
+   of a component need no more links, so a list whose members are in one component is done, and a group of
+   near copies of any size makes a few pairs for each copy. Then the members of lists that are still in
+   several components are compared in full: under one order of their values, the rarest first, two linked sets share one of their
+   first n - ceil(0.8 n) + 1 values, and have enough left behind the first that they share. Only sets that
+   meet so are pairs, so near copies that differ too much make none, and no link is lost.
 3. A pair is held against the other by size, by a 256-bit digest of both sketches, by the estimate from
    the sketch of their union, and at last by the full sets.
 
@@ -28,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textnp
-from .common import table, written
+from .common import small_batches, table, written
 from .graph import components
 
 K = 64
@@ -72,11 +76,28 @@ def shingle_hashes(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np
     return out
 
 
-SKETCH_DDL = "doc_id long, n long, s1 long, s2 long, sketch array<long>, d0 long, d1 long, d2 long, d3 long"
-_SKETCH = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("sketch", pa.list_(pa.int64())), *((d, pa.int64()) for d in DIGEST)])
+SKETCH_DDL = "doc_id long, n long, s1 long, s2 long, keys array<long>, small array<long>, d0 long, d1 long, d2 long, d3 long"
+_SKETCH = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("keys", pa.list_(pa.int64())), ("small", pa.list_(pa.int64())), *((d, pa.int64()) for d in DIGEST)])
 
 
-def sketches(batches: Iterator[pa.RecordBatch], width: int, k: int) -> Iterator[pa.RecordBatch]:
+def bucket_keys(sketch: np.ndarray, k: int) -> np.ndarray:
+    """A hash of the values of each bucket that holds two or more."""
+    bucket = (textnp.mix(sketch.copy()) % np.uint64(k)).astype(np.int64)
+    count = np.bincount(bucket, minlength=k)
+    sums = np.zeros(k, np.uint64)
+    np.add.at(sums, bucket, textnp.mix(sketch * textnp.MULT))
+    full = np.flatnonzero(count > 1)
+    return textnp.mix(sums[full] + full.astype(np.uint64)).view(np.int64)
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int64), pa.int64()))
+
+
+def sketches(batches: Iterator[pa.RecordBatch], width: int, k: int, exact: int) -> Iterator[pa.RecordBatch]:
+    """Of each document the size and a hash of its set, and of its sketch the keys and a digest; of a set of at most ``exact`` all values."""
+    none = np.zeros(0, np.int64)
     with np.errstate(over="ignore"):
         for batch in batches:
             ids = textnp.column(batch, "doc_id")
@@ -85,13 +106,12 @@ def sketches(batches: Iterator[pa.RecordBatch], width: int, k: int) -> Iterator[
                 n = np.array([len(s) for s in sets])
                 s1 = np.array([textnp.mix(s.copy()).sum(dtype=np.uint64) for s in sets], np.uint64)
                 s2 = np.array([textnp.mix(s * textnp.MULT).sum(dtype=np.uint64) for s in sets], np.uint64)
-                low = [s[:k].astype(np.int64) for s in sets]
                 bits = np.zeros((len(sets), 4), np.uint64)
-                for i, s in enumerate(low):
-                    np.bitwise_or.at(bits[i], (s >> 6) & 3, np.uint64(1) << (s & 63).astype(np.uint64))
-                ends = np.cumsum([0, *map(len, low)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(low) if low else np.zeros(0, np.int64)))
-                yield pa.RecordBatch.from_arrays([ids.slice(at, to - at), n, s1.view(np.int64), s2.view(np.int64), lists, *(bits[:, i].copy().view(np.int64) for i in range(4))], schema=_SKETCH)
+                for i, s in enumerate(sets):
+                    np.bitwise_or.at(bits[i], ((s[:k] >> np.uint64(6)) & np.uint64(3)).astype(np.int64), np.uint64(1) << (s[:k] & np.uint64(63)))
+                keys = _lists([bucket_keys(s[:k], k) if len(s) > k else none for s in sets])
+                small = _lists([s.view(np.int64) if len(s) <= exact else none for s in sets])
+                yield pa.RecordBatch.from_arrays([ids.slice(at, to - at), n, s1.view(np.int64), s2.view(np.int64), keys, small, *(bits[:, i].copy().view(np.int64) for i in range(4))], schema=_SKETCH)
 
 
 def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,102 +124,152 @@ def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([textnp.column(batch, "doc_id"), pa.array(texts, pa.binary())], ["doc_id", "z"])
 
 
-def verifier(settings: Settings):
-    """Pairs (a, b, za, zb) to the links (u, v) among them: by the union's sketch, then by the full sets."""
+def sets_of(texts: list[bytes], settings: Settings) -> list[np.ndarray]:
+    """The sets of packed texts."""
+    import zstandard
 
-    def sets_of(texts: list[bytes]) -> list[np.ndarray]:
-        data, offsets = textnp.text_bytes(pa.array(texts, pa.large_binary()))
+    plain = zstandard.ZstdDecompressor().decompress
+    data, offsets = textnp.text_bytes(pa.array([plain(t) for t in texts], pa.large_binary()))
+    with np.errstate(over="ignore"):
         return shingle_hashes(data, offsets, settings.width)
 
+
+def verifier(settings: Settings):
+    """Pairs (a, b, ca, cb, za, zb) to (a, b, ca, cb) of the linked: by the union's sketch, then by the full sets."""
+    columns = ("a", "b", "ca", "cb")
+
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        plain = zstandard.ZstdDecompressor().decompress
-        with np.errstate(over="ignore"):
-            for batch in batches:
-                a, b = (textnp.column(batch, c).to_pylist() for c in "ab")
-                za, zb = textnp.column(batch, "za"), textnp.column(batch, "zb")
-                u, v, known = [], [], {}
-                for i in range(batch.num_rows):
-                    x = known.get(a[i])
-                    raw = za[i].as_py()
-                    if x is None or x[0] != raw:
-                        known = {a[i]: (x := (raw, sets_of([plain(raw)])[0]))}
-                    s, t = x[1], sets_of([plain(zb[i].as_py())])[0]
-                    union = np.union1d(s[: settings.k], t[: settings.k])[: settings.k]
-                    both = np.isin(union, s[: settings.k], assume_unique=True) & np.isin(union, t[: settings.k], assume_unique=True)
-                    if both.sum() < min(settings.fewest, len(union) * settings.percent / 100):
-                        continue
-                    shared = len(np.intersect1d(s, t, assume_unique=True))
-                    if 100 * shared >= settings.percent * (len(s) + len(t) - shared):
-                        u.append(a[i])
-                        v.append(b[i])
-                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+        for batch in batches:
+            found, last = [], (None, None)
+            for i, (za, zb) in enumerate(zip(textnp.column(batch, "za"), textnp.column(batch, "zb"))):
+                if last[0] != (za := za.as_py()):
+                    last = (za, sets_of([za], settings)[0])
+                s, t = last[1], sets_of([zb.as_py()], settings)[0]
+                union = np.union1d(s[: settings.k], t[: settings.k])[: settings.k]
+                both = np.isin(union, s[: settings.k], assume_unique=True) & np.isin(union, t[: settings.k], assume_unique=True)
+                if both.sum() < min(settings.fewest, len(union) * settings.percent / 100):
+                    continue
+                shared = len(np.intersect1d(s, t, assume_unique=True))
+                if 100 * shared >= settings.percent * (len(s) + len(t) - shared):
+                    found.append(i)
+            yield pa.RecordBatch.from_arrays([textnp.column(batch, c).take(pa.array(found, pa.int64())) for c in columns], list(columns))
 
     return links
 
 
+ROW = ["rep", "n", *DIGEST]
+
+
 def _alike(settings: Settings, x: str, y: str) -> Column:
-    """Whether sizes and digests of the aliases allow a link."""
+    """Whether sizes and digests of the aliases allow a link: sketches of linked sets share so many values, less six deviations."""
+    low, high = f"least({x}.n, {y}.n)", f"greatest({x}.n, {y}.n)"
     bits = " + ".join(f"bit_count({x}.{d} & {y}.{d})" for d in DIGEST)
-    return F.expr(f"100 * least({x}.n, {y}.n) >= {settings.percent} * greatest({x}.n, {y}.n) AND {bits} >= greatest(1, floor(0.75 * greatest({x}.shared, {y}.shared)) - 3)")
+    k, r = settings.k, settings.percent / (100 + settings.percent)
+    p = f"({r} * (1 + {low} / {high}))"
+    shared = f"(CASE WHEN {high} <= {k} THEN {r} * ({low} + {high}) ELSE {k} * {p} - 6 * sqrt({k} * {p} * (1 - {p})) END)"
+    return F.expr(f"100 * {low} >= {settings.percent} * {high} AND {bits} >= {shared} * (1 - {shared} / 512) - 4")
 
 
 def inverted_lists(classes: DataFrame, settings: Settings) -> DataFrame:
-    """(value, rep, n, shared, digest): each class in the lists of its rarest retained values.
-
-    ``shared``: the retained values that any linked partner has too.
-    """
+    """(key, rep, n, digest): each class in its lists, of those that hold two classes or more."""
     k, p = settings.k, settings.percent
-    values = classes.select("rep", F.explode("sketch").alias("value"))
+    exact = k * 100 // p
+    keyed = classes.where(F.col("n") > k).select(*ROW, F.explode("keys").alias("key"))
+    # Small sets: of all their values the rarest that any linked set must meet; those of one class alone come first and need no list.
+    small = classes.where(F.col("n") <= exact)
+    values = small.select("rep", F.explode("small").alias("value"))
     counts = values.groupBy("value").count().where("count > 1")
     common = values.join(counts, "value").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("count", "value"))).alias("common"))
-    shared = F.expr(f"CASE WHEN n * 100 <= {k * p} THEN CAST(ceil(n * {p} / 100) AS INT) ELSE {settings.fewest} END")
-    rows = classes.select("rep", "n", F.size("sketch").alias("kept"), shared.alias("shared"), *DIGEST).join(common, "rep")
-    # Of the kept - shared + 1 rarest, those that no other class retains come first and need no list.
-    alone = F.col("kept") - F.size("common")
-    rows = rows.withColumn("value", F.explode(F.slice("common", 1, F.greatest(F.lit(0), F.col("kept") - F.col("shared") + 1 - alone))))
-    return rows.select(F.col("value.value").alias("value"), "rep", "n", "shared", *DIGEST)
+    room = F.expr(f"CAST(greatest(0, n - ceil(n * {p} / 100) + 1 - (n - size(common))) AS INT)")
+    small = small.select(*ROW).join(common, "rep").select(*ROW, F.explode(F.slice("common", 1, room)).alias("v")).select(*ROW, F.col("v.value").alias("key"))
+    every = keyed.unionByName(small)
+    several = written(every.groupBy("key").count().where("count > 1").select("key"), True)
+    return every.join(several, "key").select("key", *ROW)
+
+
+def rare_meetings(members: DataFrame, settings: Settings) -> DataFrame:
+    """(key, pos, rep, n, component, digest) of ``members`` (with packed texts z): the first values of each that others have too.
+
+    The order is by the number of members that have a value, then by the value; ``pos`` counts from 0.
+    """
+
+    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rep, s in zip(textnp.column(batch, "rep").to_pylist(), sets_of(textnp.column(batch, "z").to_pylist(), settings)):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), rep, np.int64)), pa.array(s.view(np.int64))], ["rep", "value"])
+
+    every = members.select("rep", "z").mapInArrow(values, "rep long, value long")
+    counts = written(every.groupBy("value").count().where("count > 1"), True)
+    common = every.join(counts, "value").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("count", "value"))).alias("common"))
+    rows = members.select(*ROW, "component").join(common, "rep").withColumn("alone", (F.col("n") - F.size("common")).cast("int"))
+    room = F.expr(f"CAST(greatest(0, n - ceil(n * {settings.percent} / 100) + 1 - alone) AS INT)")
+    return rows.select(*ROW, "component", "alone", F.posexplode(F.slice("common", 1, room)).alias("at", "v")).select(F.col("v.value").alias("key"), (F.col("alone") + F.col("at")).alias("pos"), *ROW, "component")
+
+
+#: Members that each list is held against in a round; rounds at most; and a share of the first round's links,
+#: one in so many, below which rounds end. What is left then is compared in full.
+PIVOTS, ROUNDS, FEW = 3, 8, 200
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """A row for each row of ``docs``: doc_id, n_shingles, component_id, kept."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    made = written(docs.mapInArrow(lambda b: sketches(b, settings.width, settings.k), SKETCH_DDL))
+    docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    made = written(docs.mapInArrow(lambda b: sketches(b, settings.width, settings.k, settings.k * 100 // settings.percent), SKETCH_DDL))
     some = made.where("n > 0 AND doc_id IS NOT NULL")
-    classes = some.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"))
-    members = written(some.select("doc_id", "s1", "s2", "n").join(classes, ["s1", "s2", "n"]).select("doc_id", "rep", "n"))
+    classes = written(some.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep")), True)
+    members = written(some.select("doc_id", "s1", "s2", "n").join(classes, ["s1", "s2", "n"]).select("doc_id", "rep"), True)
     reps = some.join(members.where("doc_id = rep").select("rep").distinct(), F.col("doc_id") == F.col("rep"), "left_semi").withColumnRenamed("doc_id", "rep")
-    lists = written(inverted_lists(reps, settings))
-    row = ["rep", "n", "shared", *DIGEST]
+    lists = written(inverted_lists(reps, settings), True)
+    of = lists.select(F.col("rep").alias("node"), F.col("rep").alias("component")).distinct()
+    texts = written(docs.mapInArrow(packed, "doc_id long, z binary").join(of, F.col("doc_id") == F.col("node"), "left_semi"))
+    found = []
 
     def linked(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        texts = docs.mapInArrow(packed, "doc_id long, z binary").join(ids, "doc_id", "left_semi")
-        texts = written(texts)
         full = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("z").alias("za")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("z").alias("zb")), "b")
-        return written(full.select("a", "b", "za", "zb").mapInArrow(verifier(settings), "u long, v long").distinct())
-
-    # Each list against its least member.
-    least = lists.groupBy("value").agg(F.min(F.struct(*row)).alias("least"), F.count("*").alias("size")).where("size > 1").select("value", F.col("least.*"))
-    tried = written(least.alias("x").join(lists.alias("y"), (F.col("x.value") == F.col("y.value")) & (F.col("x.rep") < F.col("y.rep")) & _alike(settings, "x", "y")).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
-    # Rows of one doc_id with different texts belong together.
-    same = members.groupBy("doc_id").agg(F.min("rep").alias("u"), F.max("rep").alias("v")).where("u <> v").select("u", "v")
-    several = members.select("doc_id", "rep").join(same.select(F.col("u")).distinct(), F.col("doc_id") == F.col("u"), "left_semi")
-    same = same.unionByName(several.select(F.col("doc_id").alias("u"), F.col("rep").alias("v")))
-    links = linked(tried).unionByName(same)
-    of = components(links)
-
-    # Members of one list in different components against each other.
-    placed = lists.join(of, lists.rep == of.node, "left").select(lists["*"], F.coalesce("component", "rep").alias("component"))
-    open_lists = placed.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("value")
-    placed = written(placed.join(open_lists, "value", "left_semi"))
-    rest = placed.alias("x").join(placed.alias("y"), (F.col("x.value") == F.col("y.value")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.component") != F.col("y.component")) & _alike(settings, "x", "y"))
-    rest = written(rest.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"))
-    if not rest.isEmpty():
-        of = components(links.unionByName(linked(rest)))
-
-    placed = members.join(of, members.rep == of.node, "left").select("doc_id", F.coalesce("component", "rep").alias("component_id")).distinct()
+        found.append(written(full.select("a", "b", "ca", "cb", "za", "zb").mapInArrow(verifier(settings), "a long, b long, ca long, cb long").distinct(), True))
+        return found[-1]
+
+    def apart(lists: DataFrame, of: DataFrame) -> DataFrame:
+        """The lists whose members are in several components."""
+        rows = lists.join(of, lists.rep == of.node).select(*lists.columns, "component")
+        several = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
+        return written(rows.join(written(several, True), "key"), True)
+
+    def pairs(x: DataFrame, y: DataFrame, each: str) -> DataFrame:
+        met = x.alias("x").join(y.alias("y"), F.expr(f"x.key = y.key AND x.component <> y.component AND {each}") & _alike(settings, "x", "y"))
+        one, other = F.struct("x.rep", "x.component"), F.struct("y.rep", "y.component")
+        met = met.select(F.least(one, other).alias("p"), F.greatest(one, other).alias("q")).distinct()
+        return met.select(F.col("p.rep").alias("a"), F.col("q.rep").alias("b"), F.col("p.component").alias("ca"), F.col("q.component").alias("cb"))
+
+    sizes: list[int] = []
+    for turn in range(ROUNDS):
+        open_ = apart(lists, of) if turn else lists.withColumn("component", F.col("rep"))
+        pick = [F.min_by(F.struct(*ROW, "component"), F.xxhash64(F.lit(turn * PIVOTS + i), "rep")) for i in range(PIVOTS)]
+        pivots = written(open_.groupBy("key").agg(F.array_distinct(F.array(*pick)).alias("p")).select("key", F.explode("p").alias("p")).select("key", "p.*"), True)
+        links = linked(pairs(pivots, open_, "true"))
+        # A component joins the least that it is linked to, and that one's; nodes of one label are linked, if not yet all that are.
+        step = links.select(F.greatest("ca", "cb").alias("c"), F.least("ca", "cb").alias("m")).groupBy("c").agg(F.min("m").alias("m"))
+        jump = step.join(step.select(F.col("c").alias("m"), F.col("m").alias("mm")), "m", "left").select("c", F.coalesce("mm", "m").alias("m"))
+        of = written(of.join(jump, of.component == jump.c, "left").select("node", F.coalesce("m", "component").alias("component")), True)
+        lists = open_.drop("component")
+        sizes.append(links.count())
+        if sizes[-1] * FEW <= sizes[0]:
+            break
+    open_ = apart(lists, of)
+    some_partner = F.expr("x.key = y.key AND x.component <> y.component") & _alike(settings, "x", "y")
+    left = open_.alias("x").join(open_.alias("y"), some_partner, "left_semi").select(*ROW, "component").distinct()
+    left = written(left.join(texts, left.rep == texts.doc_id).select(*ROW, "component", "z"))
+    meet = written(rare_meetings(left, settings), True)
+    # What two sets share lies behind the first value that they share.
+    linked(pairs(meet, meet, f"x.rep < y.rep AND {settings.percent} * (x.n + y.n) <= {100 + settings.percent} * least(x.n - x.pos, y.n - y.pos)"))
+
+    # Rows of one doc_id with different texts are one node.
+    nodes = members.groupBy("doc_id").agg(F.min("rep").alias("u"), F.max("rep").alias("v")).where("u <> v")
+    edges = members.join(nodes.select("doc_id"), "doc_id").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
+    for links in found:
+        edges = edges.unionByName(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    whole = components(edges)
+    placed = members.join(whole, members.rep == whole.node, "left").select("doc_id", F.coalesce("component", "rep").alias("component_id")).distinct()
     return made.select("doc_id", F.col("n").alias("n_shingles")).join(placed, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
