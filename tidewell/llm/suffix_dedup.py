@@ -248,11 +248,12 @@ def removed(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     runs = written(docs.mapInArrow(lambda b: anchored_runs(b, length, gram), RUNS_DDL))
 
     # Names of grams, then of runs. A hot name has many rows, so it is counted before it is joined.
-    again = written(runs.groupBy("gram").agg(F.sum("times").alias("times")).where("times > 1").select("gram"))
+    again = written(runs.groupBy("gram").agg(F.sum("times").alias("times")).where("times > 1").select("gram"), True)
     runs = written(runs.join(again, "gram"))
     whole = runs.groupBy("gram", "c1", "c2").agg(F.sum("times").alias("times"), F.min(F.struct("doc_id", "dk", "p0")).alias("copy"))
-    edges = whole.groupBy("gram").agg((F.min("times") == 1).alias("edge"))
-    whole = written(whole.join(edges, "gram"))
+    whole = written(whole, True)
+    edges = written(whole.groupBy("gram").agg((F.min("times") == 1).alias("edge")), True)
+    whole = written(whole.join(edges, "gram"), True)
     mine = F.struct("doc_id", "dk", "p0").eqNullSafe(F.col("copy"))
     kind = F.when(F.col("times") == 1, HARD).when(F.col("edge") & mine, PARTNER).otherwise(FULL)
     by_doc = runs.drop("times").join(whole, ["gram", "c1", "c2"]).select("doc_id", "dk", F.struct("p0", "n", "ahead", "all", kind.alias("kind")).alias("run")).groupBy("doc_id", "dk").agg(F.collect_list("run").alias("runs"))
