@@ -21,7 +21,7 @@ IS_SPACE[[32, *range(9, 14)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 #: Bytes of text worked on at a time; a longer text is one piece.
-PIECE = 2 << 20
+PIECE = 1 << 19
 
 
 def kept(key: str, make):

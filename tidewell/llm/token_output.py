@@ -175,7 +175,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
             return pa.RecordBatch.from_pylist([{"shard": key, "part": part, "n_ids": sum(counts), "width": width, "dict_sha256": sha, "doc_ids": ids, "ends": ends, "counts": counts, "payload": b"".join(frames)}], SHARDS)
 
         for batch in batches:
-            for at, to, _, _ in pieces(batch.column(1)):
+            for at, to, _, _ in pieces(batch.column(1), 4 << 20):
                 texts = [t or "" for t in batch.column(1).slice(at, to - at).to_pylist()]
                 for i, text, own in zip(batch.column(0).slice(at, to - at).to_pylist(), texts, encode(texts)):
                     own += end
