@@ -31,7 +31,7 @@ from . import textnp
 from .common import small_batches, table
 
 #: Labelled documents of each label for the fit.
-SAMPLE = 2500
+SAMPLE = 2000
 #: Kinds of bytes for the character model: 0 none of these, 1 to 26 letters, 27 bytes of other letters.
 N = 28
 KIND = np.zeros(256, np.int64)
@@ -289,11 +289,12 @@ def fit(docs: DataFrame, labels: DataFrame, name: str = "toxic", sample: int = S
         for batch in batches:
             for at, to, data, offsets in textnp.pieces(textnp.column(batch, "text")):
                 row, hashes = features(data, offsets, characters, known)
-                each = [hashes[row == i].tobytes() for i in range(to - at)]
-                yield pa.RecordBatch.from_arrays([textnp.column(batch, "doc_id").slice(at, to - at), textnp.column(batch, "y").slice(at, to - at), pa.array(each, pa.binary())], ["doc_id", "y", "h"])
+                own = [hashes[row == i] for i in range(to - at)]
+                each = [h[np.unique(h[:, 0], return_index=True)[1]].tobytes() for h in own]
+                yield pa.RecordBatch.from_arrays([textnp.column(batch, "doc_id").slice(at, to - at), textnp.column(batch, "y").slice(at, to - at), pa.array(map(len, own), pa.int64()), pa.array(each, pa.binary())], ["doc_id", "y", "n", "h"])
 
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id")
-    rows = found.mapInArrow(hashed, "doc_id long, y int, h binary").orderBy("doc_id").collect()
+    rows = found.mapInArrow(hashed, "doc_id long, y int, n long, h binary").orderBy("doc_id").collect()
     y = np.array([r.y for r in rows])
     if len(set(y)) < 2:
         model.share = float(np.mean(y)) if len(y) else 0.0
@@ -307,6 +308,7 @@ def fit(docs: DataFrame, labels: DataFrame, name: str = "toxic", sample: int = S
         model.hashes, model.evidence = fit_evidence([f for f, p in zip(flat, part) if p != k], y[part != k])
         for i in np.flatnonzero(part == k):
             x[i] = model.measures(np.zeros(len(each[i]), np.int64), each[i], 1)[0]
+            x[i, 3] = np.log1p(rows[i].n) / 8
     weight = np.array([counts[0] / max(1, (y == 0).sum()), counts[1] / max(1, (y == 1).sum())])[y]
     model.weights = fit_logistic(x, y, weight)
     model.hashes, model.evidence = fit_evidence(flat, y)
