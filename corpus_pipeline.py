@@ -38,9 +38,9 @@ def mixture_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def token_output_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of each document, written and read back."""
+    """The ids of each document, written and read back. Other stages share the workers, so these remember few words."""
     path = shared_dir(spark)
-    token_output.write(docs, path)
+    token_output.write(docs, path, remember=300_000)
     return token_output.read(spark, path)
 
 

@@ -59,7 +59,7 @@ class Encoder:
     blanks goes to the library whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, room: int = CACHE_WORDS):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -73,6 +73,7 @@ class Encoder:
         self.marks = dict(zip(".,;:!?", self.library(list(".,;:!?"))))
         #: By a word after a space, or a line end and the word after it.
         self.known: dict[str, bytes] = {}
+        self.room = room
 
     def library(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -95,7 +96,7 @@ class Encoder:
         own = dict(zip(plain, self.parts([w if w[0] == "\n" else " " + w for w in plain])))
         for w in marked:
             own[w] = (own.get(w[:-1]) or known[w[:-1]]) + marks[w[-1]]
-        if len(known) < CACHE_WORDS:
+        if len(known) < self.room:
             known.update(own)
         return own
 
@@ -150,8 +151,8 @@ def train_dictionary(docs: DataFrame, path: str, end_id: int, width: int) -> byt
     return b"".join(samples)[:DICT_BYTES]
 
 
-def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 0, width: int = 2, partitions: int | None = None) -> None:
-    """Write the ids of all documents to the folder ``path``."""
+def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 0, width: int = 2, partitions: int | None = None, remember: int = CACHE_WORDS) -> None:
+    """Write the ids of all documents to the folder ``path``; a worker remembers the ids of ``remember`` words."""
     spark = docs.sparkSession
     tokenizer = tokenizer or tokenizer_path()
     dictionary = train_dictionary(docs, tokenizer, end_id, width)
@@ -162,7 +163,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        encode, part = kept(f"encoder {tokenizer}", lambda: Encoder(tokenizer)), 0
+        encode, part = kept(f"encoder {tokenizer} {remember}", lambda: Encoder(tokenizer, remember)), 0
         if dictionary:
             compress = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary)).compress
         else:
