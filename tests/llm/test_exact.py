@@ -69,6 +69,24 @@ def test_near_dedup(spark, docs):
     assert near(spark.createDataFrame(own, "doc_id long, text string")) == brute.near(own)
 
 
+def test_near_dedup_small_sets_at_the_bound(spark):
+    """Ten thousand pairs of at most 64 shingles, of similarity 0.75 to 0.83, each pair with words of its own."""
+    r = random.Random(6)
+    own, want, linked = [], {}, 0
+    for k in range(10_000):
+        size, gone = r.randrange(40, 65), r.randrange(4, 9)
+        words = [f"p{k}w{i}" for i in range(size + 1)]
+        cut = words[: size + 1 - gone]
+        other = cut + [f"p{k}v{i}" for i in range(r.randrange(0, 65 - len(cut) + 1))] if r.random() < 0.5 else cut
+        a, b = (frozenset(zip(w, w[1:])) for w in (words, other))
+        near_ = 100 * len(a & b) >= 80 * len(a | b)
+        linked += near_
+        own += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+        want |= {2 * k: (len(a), 2 * k), 2 * k + 1: (len(b), 2 * k if near_ else 2 * k + 1)}
+    assert 3000 < linked < 9000
+    assert near(spark.createDataFrame(own, "doc_id long, text string")) == want
+
+
 def test_near_dedup_odd(odd, nothing):
     got = near_dedup.near_duplicates(odd).collect()
     assert len(got) == len(ODD)

@@ -13,8 +13,8 @@ equal sets are one class, represented by its least id. Between classes:
    several components are compared in full: under one order of their values, the rarest first, two linked sets share one of their
    first n - ceil(0.8 n) + 1 values, and have enough left behind the first that they share. Only sets that
    meet so are pairs, so near copies that differ too much make none, and no link is lost.
-3. A pair is held against the other by size, by a 256-bit digest of both sketches, by the estimate from
-   the sketch of their union, and at last by the full sets.
+3. A pair is held against the other by size, by a 256-bit digest of both sketches (which loses a linked pair in
+   10**9 at most), by the estimate from the sketch of their union, and at last by the full sets.
 
 Nulls: a null or blank text has an empty set, linked with nothing; so has a row with a null doc_id.
 Rows with equal doc_id are one node: they share a component, whatever their texts, and each row is
@@ -25,6 +25,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -160,14 +162,40 @@ def verifier(settings: Settings):
 ROW = ["rep", "n", *DIGEST]
 
 
+#: The share of linked pairs that the digests may lose, at most.
+LOST = 1e-9
+
+
+@cache
+def fewest_bits(settings: Settings) -> tuple[tuple[int, ...], tuple[int, ...]]:
+    """The least numbers of digest bits that a linked pair's shared values occupy, but for a share LOST of the pairs.
+
+    The first for 0 to K shared values of sets that are their own sketches; the second for sketches of larger sets,
+    by the hundredths of the smaller size over the larger from ``percent`` on: of K values each is shared with the same chance.
+    """
+    k, r = settings.k, settings.percent / (100 + settings.percent)
+    occupied = np.zeros((k + 1, k + 2))  # by values, by the bits that they take
+    occupied[0, 0] = 1.0
+    taken = np.arange(k + 2) / (64 * len(DIGEST))
+    for v in range(k):
+        occupied[v + 1] = occupied[v] * taken + np.r_[0.0, (occupied[v] * (1 - taken))[:-1]]
+    least = lambda chance: int(np.searchsorted(np.cumsum(chance), LOST, "right"))
+    large = []
+    for q in range(settings.percent, 101):
+        p = r * (1 + q / 100)
+        large.append(least(np.array([comb(k, v) * p**v * (1 - p) ** (k - v) for v in range(k + 1)]) @ occupied))
+    return tuple(map(least, occupied)), tuple(large)
+
+
 def _alike(settings: Settings, x: str, y: str) -> Column:
-    """Whether sizes and digests of the aliases allow a link: sketches of linked sets share so many values, less six deviations."""
+    """Whether sizes and digests of the aliases allow a link."""
     low, high = f"least({x}.n, {y}.n)", f"greatest({x}.n, {y}.n)"
     bits = " + ".join(f"bit_count({x}.{d} & {y}.{d})" for d in DIGEST)
-    k, r = settings.k, settings.percent / (100 + settings.percent)
-    p = f"({r} * (1 + {low} / {high}))"
-    shared = f"(CASE WHEN {high} <= {k} THEN {r} * ({low} + {high}) ELSE {k} * {p} - 6 * sqrt({k} * {p} * (1 - {p})) END)"
-    return F.expr(f"100 * {low} >= {settings.percent} * {high} AND {bits} >= {shared} * (1 - {shared} / 512) - 4")
+    small, large = (f"array({', '.join(map(str, t))})" for t in fewest_bits(settings))
+    shared = f"({settings.percent} * ({low} + {high}) + {99 + settings.percent}) DIV {100 + settings.percent}"
+    least = f"CASE WHEN {high} <= {settings.k} THEN get({small}, CAST({shared} AS INT)) ELSE get({large}, CAST(100 * {low} DIV {high} - {settings.percent} AS INT)) END"
+    # Sizes that allow no link have no entry.
+    return F.expr(f"100 * {low} >= {settings.percent} * {high} AND {bits} >= coalesce({least}, 0)")
 
 
 def inverted_lists(classes: DataFrame, settings: Settings) -> DataFrame:
