@@ -59,6 +59,19 @@ def test_disguised_words_are_evidence(spark, toxic, line):
     assert score[2] < 0.1 and score[3] < 0.5
 
 
+def test_short_words_are_evidence(spark):
+    """The only toxic words have one to three letters, plain, disguised or set apart."""
+    plain = "the of and to in is that it was for on with as be by at this from are or"
+    # Labels alternate, and texts of both are of the same lengths: the short word alone tells them apart.
+    own = [(i, f"{plain} {(('zig', 'qb', 'é'), ('zog', 'qv', 'ü'))[i % 2][i % 3]} {plain}{' meadow' * (i // 2 % 5)}") for i in range(900)]
+    own += [(900 + i, f"{plain} {w} {plain}") for i, w in enumerate(["zog", "qv", "ü", "z0g", "z o g", "q v", "zig", "qb"])]
+    docs = spark.createDataFrame(own, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(900)], "doc_id long, toxic int")
+    score = {r.doc_id: r.score for r in toxicity.scored(docs, toxicity.fit(docs, labels)).collect()}
+    assert all(score[i] >= 0.5 for i in range(900, 906)), score
+    assert score[906] < 0.5 and score[907] < 0.5
+
+
 def test_odd(spark, odd, nothing, toxic):
     labels = spark.createDataFrame([(900_004, 1, 1), (900_004, 0, 0), (900_005, None, None), (None, 1, 1), (1, 1, 1)], "doc_id long, toxic int, quality int")
     for table in (odd, nothing):

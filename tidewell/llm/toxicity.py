@@ -155,16 +155,16 @@ def disguised(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, str,
         word = data[starts[k] : ends[k]].tobytes().decode("utf-8", "ignore").lower().strip(".,;:!?\"'()[]|")
         marks = sum(word.count(m) for m in MARKS)
         for part in [word.translate({ord(m): None for m in MARKS})] if 2 * marks >= len(word) - marks - 2 else word.translate({ord(m): " " for m in MARKS}).split():
-            if len(part) > 2:
+            if len(part) > 1:
                 yield row_of(k), part, 2 * marks >= len(word) - marks - 2
-    # Single characters in a row, three and more.
+    # Single characters in a row, two and more.
     size = ends - starts
     single = ((size == 1) & (letter[starts] | IS_LEET[data[starts]])) | ((size == 2) & (data[starts] >= 0xC3))
     single = np.r_[False, single, False]
     edge = np.flatnonzero(single[1:] != single[:-1])
     for a, b in zip(edge[::2], edge[1::2]):
         for x, y in zip([a, *first[(first > a) & (first < b)]], [*first[(first > a) & (first < b)], b]):
-            if y - x >= 3:
+            if y - x >= 2:
                 text = data[starts[x] : ends[y - 1]].tobytes().decode("utf-8", "ignore").lower()
                 yield row_of(x), "".join(text.split()), True
 
@@ -174,17 +174,14 @@ def features(data: np.ndarray, offsets: np.ndarray, model: np.ndarray, known: di
     parts, rows = [], []
     for row, word, apart in disguised(data, offsets):
         for w in restored(word, apart, model, known).split():
-            if len(w.encode()) >= PREFIXES[0]:
-                parts.append(w.encode())
-                rows.append(row)
+            parts.append(w.encode())
+            rows.append(row)
     more = np.frombuffer(b" ".join(parts), np.uint8)
     low = lowered(np.concatenate([data, more]))
     edges = np.r_[offsets, len(low)] if len(more) else offsets
     starts, ends, first = textnp.spans(KIND[low] > 0, edges)
     row = np.repeat(np.arange(len(edges) - 1), np.diff(first))
     row[row == len(offsets) - 1] = rows
-    long = ends - starts >= PREFIXES[0]
-    starts, ends, row = starts[long], ends[long], row[long]
     if not len(starts):
         return row, np.zeros((0, 1 + len(PREFIXES)), np.uint64)
     size = ends - starts
@@ -195,8 +192,9 @@ def features(data: np.ndarray, offsets: np.ndarray, model: np.ndarray, known: di
     np.cumsum(value, out=sums[1:])
     begin = np.cumsum(size) - size
     out = [textnp.mix(sums[begin + size] - sums[begin])]
-    for k in PREFIXES:
-        out.append(textnp.mix(sums[begin + np.minimum(size, k)] - sums[begin] + np.uint64(k)))
+    for k in PREFIXES:  # words shorter than any beginning have themselves alone
+        start = textnp.mix(sums[begin + np.minimum(size, k)] - sums[begin] + np.uint64(k))
+        out.append(np.where(size >= PREFIXES[0], start, out[0]))
     return row, np.stack(out, axis=1)
 
 
