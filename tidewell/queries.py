@@ -283,6 +283,28 @@ def bloom_contains_all(spark, d):
     return _few(spark, d).withColumn("f", bloom.bloom_filter_create("items")).select("doc_id", bloom.bloom_filter_contains_all("f", "array('the', NULL, 'of')").alias("may"))
 
 
+# The same over all words of every text. DuckDB's SQL above takes items times size, so tests hold these against brute force.
+
+
+def _whole(spark, d) -> DataFrame:
+    return read_remote(spark, d, "documents").to_df().select("doc_id", F.expr(_H).alias("items"))
+
+
+@query()
+def bloom_create_bytes_whole(spark, d):
+    return _whole(spark, d).select("doc_id", F.hex(bloom.bloom_filter_create("items")).alias("filter"))
+
+
+@query()
+def bloom_contains_whole(spark, d):
+    return _whole(spark, d).withColumn("f", bloom.bloom_filter_create("items")).select("doc_id", bloom.bloom_filter_contains("f", "'the'").alias("may"))
+
+
+@query()
+def bloom_contains_all_whole(spark, d):
+    return _whole(spark, d).withColumn("f", bloom.bloom_filter_create("items")).select("doc_id", bloom.bloom_filter_contains_all("f", "array('the', NULL, 'of')").alias("may"))
+
+
 @query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING' AND c_nationkey = 3)")
 def bloom_semi_join(spark, d):
     """A filter of the few keys drops most rows of the large side before the exact join."""
