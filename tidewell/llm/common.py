@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,7 +50,14 @@ def written(df: DataFrame, narrow: bool = False) -> DataFrame:
     else:
         df.write.parquet(path)
     WRITTEN.append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
+
+
+def done_with(*tables: DataFrame) -> None:
+    """Remove tables that ``written`` made, once all that reads them is itself written."""
+    drop(tables[0].sparkSession, [t.written_path for t in tables])
 
 
 def drop(spark: SparkSession, paths: list[str]) -> None:
@@ -61,12 +68,55 @@ def drop(spark: SparkSession, paths: list[str]) -> None:
     WRITTEN[:] = [p for p in WRITTEN if p not in paths]
 
 
+def settled(df: DataFrame, before: int) -> DataFrame:
+    """``df`` written; the tables written since there were ``before`` of them, which it was made from, are removed."""
+    out = written(df)
+    drop(df.sparkSession, WRITTEN[before:-1])
+    return out
+
+
 def small_batches(df: DataFrame) -> DataFrame:
     """``df``, its session now sending few whole texts at a time to Python, so that batches of long ones fit."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return df
 
 
+def rest(spark: SparkSession) -> None:
+    """Have the driver and the executors collect their garbage, so that what one stage left there isn't held through the next.
+
+    A heap that has grown stays so until a full collection; then it shrinks to what is in use. The driver's collection also
+    lets Spark remove the shuffle files of plans that are gone.
+    """
+    spark.sparkContext._jvm.System.gc()
+    n = spark.sparkContext.defaultParallelism
+    spark.range(0, n, 1, n).select(F.expr("reflect('java.lang.System', 'gc')")).collect()  # a row for each core
+
+
+def mapped(df: DataFrame, function: Callable[[Iterator], Iterator], schema) -> DataFrame:
+    """``df.mapInArrow(function, schema)``, whose workers give back the memory that they no longer use when a task ends."""
+
+    def trimmed(batches: Iterator) -> Iterator:
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(trimmed, schema)
+
+
+def give_back() -> None:
+    """Free memory of this process to the system, where its C library can."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
 def let(value: Column, body) -> Column:
     """``body(x)`` with x bound to ``value``, computed once for each row."""
     return F.transform(F.array(value), body)[0]

@@ -9,8 +9,11 @@ from .common import written
 
 
 def _lower(both: DataFrame, kept: str) -> DataFrame:
-    """For each edge (u, v) the least neighbour of u: the edges (v, least) or, in ``kept``, as said."""
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    """Each edge (u, v) with the least neighbour of u, itself included, as m, of those that are ``kept``.
+
+    The least are written before they are joined: the edges then come by a plain shuffle, of which a hub is split.
+    """
+    least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), True)
     return both.join(least, "u").where(kept)
 
 

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textnp
-from .common import small_batches, table, written
+from .common import WRITTEN, mapped, settled, small_batches, table, written
 from .graph import components
 
 K = 64
@@ -226,7 +226,7 @@ def rare_meetings(members: DataFrame, settings: Settings) -> DataFrame:
             for rep, s in zip(textnp.column(batch, "rep").to_pylist(), sets_of(textnp.column(batch, "z").to_pylist(), settings)):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), rep, np.int64)), pa.array(s.view(np.int64))], ["rep", "value"])
 
-    every = members.select("rep", "z").mapInArrow(values, "rep long, value long")
+    every = members.select("rep", "z").transform(mapped, values, "rep long, value long")
     counts = written(every.groupBy("value").count().where("count > 1"), True)
     common = every.join(counts, "value").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("count", "value"))).alias("common"))
     rows = members.select(*ROW, "component").join(common, "rep").withColumn("alone", (F.col("n") - F.size("common")).cast("int"))
@@ -241,20 +241,21 @@ PIVOTS, ROUNDS, FEW = 3, 8, 200
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """A row for each row of ``docs``: doc_id, n_shingles, component_id, kept."""
+    before = len(WRITTEN)
     docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    made = written(docs.mapInArrow(lambda b: sketches(b, settings.width, settings.k, settings.k * 100 // settings.percent), SKETCH_DDL))
+    made = written(docs.transform(mapped, lambda b: sketches(b, settings.width, settings.k, settings.k * 100 // settings.percent), SKETCH_DDL))
     some = made.where("n > 0 AND doc_id IS NOT NULL")
     classes = written(some.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep")), True)
     members = written(some.select("doc_id", "s1", "s2", "n").join(classes, ["s1", "s2", "n"]).select("doc_id", "rep"), True)
     reps = some.join(members.where("doc_id = rep").select("rep").distinct(), F.col("doc_id") == F.col("rep"), "left_semi").withColumnRenamed("doc_id", "rep")
     lists = written(inverted_lists(reps, settings), True)
     of = lists.select(F.col("rep").alias("node"), F.col("rep").alias("component")).distinct()
-    texts = written(docs.mapInArrow(packed, "doc_id long, z binary").join(of, F.col("doc_id") == F.col("node"), "left_semi"))
+    texts = written(docs.transform(mapped, packed, "doc_id long, z binary").join(of, F.col("doc_id") == F.col("node"), "left_semi"))
     found = []
 
     def linked(pairs: DataFrame) -> DataFrame:
         full = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("z").alias("za")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("z").alias("zb")), "b")
-        found.append(written(full.select("a", "b", "ca", "cb", "za", "zb").mapInArrow(verifier(settings), "a long, b long, ca long, cb long").distinct(), True))
+        found.append(written(full.select("a", "b", "ca", "cb", "za", "zb").transform(mapped, verifier(settings), "a long, b long, ca long, cb long").distinct(), True))
         return found[-1]
 
     def apart(lists: DataFrame, of: DataFrame) -> DataFrame:
@@ -298,7 +299,9 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         edges = edges.unionByName(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     whole = components(edges)
     placed = members.join(whole, members.rep == whole.node, "left").select("doc_id", F.coalesce("component", "rep").alias("component_id")).distinct()
-    return made.select("doc_id", F.col("n").alias("n_shingles")).join(placed, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
+    out = made.select("doc_id", F.col("n").alias("n_shingles")).join(placed, "doc_id", "left")
+    out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
+    return settled(out, before)
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

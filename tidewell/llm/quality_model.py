@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textnp
-from .common import small_batches, table
+from .common import mapped, small_batches, table
 
 SAMPLE = 20_000
 #: Rows of the table for words and for shapes, numbers in a vector, and neighbours on each side.
@@ -110,7 +110,7 @@ def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
     """The table of unit-length word vectors, from all documents."""
-    made = docs.select("text").mapInArrow(gather, "block int, sums binary").repartition("block").mapInArrow(add_up, "block int, sums binary")
+    made = docs.select("text").transform(mapped, gather, "block int, sums binary").repartition("block").transform(mapped, add_up, "block int, sums binary")
     total = np.zeros((WORDS + SHAPES, DIM))
     for r in made.toLocalIterator():
         total[r.block * BLOCK : (r.block + 1) * BLOCK] += np.frombuffer(zlib.decompress(r.sums), np.int64).reshape(BLOCK, DIM)
@@ -207,7 +207,7 @@ def fit(docs: DataFrame, labels: DataFrame, name: str = "quality", sample: int =
                 yield pa.RecordBatch.from_arrays([textnp.column(batch, c).slice(at, to - at) for c in ("doc_id", "y")] + [pa.array(x, pa.binary())], ["doc_id", "y", "x"])
 
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id")
-    rows = sorted(found.mapInArrow(pool, "doc_id long, y int, x binary").collect(), key=lambda r: (textnp.mix(np.array([r.doc_id]).astype(np.uint64))[0], r.x))
+    rows = sorted(found.transform(mapped, pool, "doc_id long, y int, x binary").collect(), key=lambda r: (textnp.mix(np.array([r.doc_id]).astype(np.uint64))[0], r.x))
     y = np.array([r.y for r in rows])
     if len(set(y)) == 2:
         model.network = train(np.stack([np.frombuffer(r.x, np.float32) for r in rows]).astype(float), y)
@@ -225,7 +225,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
             for at, to, data, offsets in textnp.pieces(textnp.column(batch, "text")):
                 yield pa.RecordBatch.from_arrays([textnp.column(batch, "doc_id").slice(at, to - at), pa.array(model.score(data, offsets, index))], ["doc_id", "score"])
 
-    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(score, "doc_id long, score double")
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").transform(mapped, score, "doc_id long, score double")
 
 
 def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textnp
-from .common import small_batches, table
+from .common import mapped, small_batches, table
 
 #: Labelled documents of each label for the fit.
 SAMPLE = 2000
@@ -69,7 +69,7 @@ def character_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 def character_model(docs: DataFrame) -> np.ndarray:
     """log P(third | first two), from all documents."""
     counts = np.zeros(N**3)
-    for r in docs.select("text").mapInArrow(character_counts, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).collect():
+    for r in docs.select("text").transform(mapped, character_counts, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).collect():
         counts[r.code] = r.n
     counts = counts.reshape(N, N, N) + 0.1
     return np.log(counts / counts.sum(axis=2, keepdims=True))
@@ -292,7 +292,7 @@ def fit(docs: DataFrame, labels: DataFrame, name: str = "toxic", sample: int = S
                 yield pa.RecordBatch.from_arrays([textnp.column(batch, "doc_id").slice(at, to - at), textnp.column(batch, "y").slice(at, to - at), pa.array(map(len, own), pa.int64()), pa.array(each, pa.binary())], ["doc_id", "y", "n", "h"])
 
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id")
-    rows = found.mapInArrow(hashed, "doc_id long, y int, n long, h binary").orderBy("doc_id").collect()
+    rows = found.transform(mapped, hashed, "doc_id long, y int, n long, h binary").orderBy("doc_id").collect()
     y = np.array([r.y for r in rows])
     if len(set(y)) < 2:
         model.share = float(np.mean(y)) if len(y) else 0.0
@@ -329,7 +329,7 @@ def scored(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
                 out[at:to] = model.score(*features(data, offsets, model.characters, known), to - at)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], [*batch.schema.names, name])
 
-    return small_batches(docs).mapInArrow(score, schema)
+    return small_batches(docs).transform(mapped, score, schema)
 
 
 
