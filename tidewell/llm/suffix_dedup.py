@@ -34,9 +34,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textnp
-from .common import small_batches, table, written
+from .common import WRITTEN, done_with, mapped, settled, small_batches, table, written
 
 LENGTH, GRAM, BLOCK = 400, 128, 32
+#: A passage is so many words; what is compared of it are grams of so many, one of which every passage holds.
+PASSAGE, PRINT = 51, 36
+#: Words that are searched for prints at a time.
+WORDS = 1 << 20
 #: Bits for the place of a gram within a piece, so a piece of a long text has at most half as many bytes.
 PLACE_BITS = 24
 #: Bytes of text hashed at a time.
@@ -45,7 +49,7 @@ MULT2 = np.uint64(0xD1342543DE82EF95)
 
 RUNS = pa.schema([("gram", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("doc_id", pa.int64()), ("dk", pa.int64()), ("p0", pa.int64()), ("n", pa.int32()), ("ahead", pa.int32()), ("times", pa.int32()), ("all", pa.int64())])
 RUNS_DDL = "gram long, c1 long, c2 long, doc_id long, dk long, p0 long, n int, ahead int, times int, all long"
-RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+RESULT = "doc_id long, dk long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
 class Rolling:
@@ -161,10 +165,10 @@ def cut(text: bytes, windows: list[tuple[int, int]], length: int) -> tuple[int,
 
 FULL, HARD, PARTNER = 0, 1, 2
 #: Rows of the second pass: a result, a block to be named, or a document that waits for its blocks.
-SECOND = "step int, " + RESULT + ", dk long, text binary, done array<struct<p0: long, n: long>>, hard boolean, p0 long, n int, core long, w1 long, w2 long, names binary"
+SECOND = "step int, " + RESULT + ", text binary, done array<struct<p0: long, n: long>>, hard boolean, p0 long, n int, core long, w1 long, w2 long, names binary"
 _SECOND = pa.schema([
-    ("step", pa.int32()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()),
-    ("dk", pa.int64()), ("text", pa.binary()), ("done", pa.list_(pa.struct([("p0", pa.int64()), ("n", pa.int64())]))),
+    ("step", pa.int32()), ("doc_id", pa.int64()), ("dk", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()),
+    ("text", pa.binary()), ("done", pa.list_(pa.struct([("p0", pa.int64()), ("n", pa.int64())]))),
     ("hard", pa.bool_()), ("p0", pa.int64()), ("n", pa.int32()), ("core", pa.int64()), ("w1", pa.int64()), ("w2", pa.int64()), ("names", pa.binary()),
 ])
 
@@ -198,7 +202,7 @@ def blocks(text: bytes, runs: list[dict], length: int) -> dict:
 def _second_pass(length: int):
     def pass_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = {k: [] for k in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")}
+            out = {k: [] for k in ("doc_id", "dk", "n_bytes", "n_removed", "n_spans", "kept_sha256")}
             for doc_id, dk, text, runs in zip(*(textnp.column(batch, c) for c in ("doc_id", "dk", "text", "runs"))):
                 doc_id, dk, text, runs = doc_id.as_py(), dk.as_py(), text.as_py().encode(), runs.as_py() or []
                 done = [(r["p0"], r["all"]) for r in runs if r["kind"] != HARD]
@@ -209,7 +213,7 @@ def _second_pass(length: int):
                 if any(r["kind"] == HARD for r in runs):
                     yield _rows(1, step=[2], doc_id=[doc_id], dk=[dk], text=[text], done=[[{"p0": a, "n": n} for a, n in done]])
                 else:
-                    for k, v in zip(out, (doc_id, *cut(text, done, length))):
+                    for k, v in zip(out, (doc_id, dk, *cut(text, done, length))):
                         out[k].append(v)
             n = len(out["doc_id"])
             yield _rows(n, step=np.zeros(n, np.int32), **out)
@@ -229,52 +233,104 @@ def each_string(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _last_pass(length: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
+    schema = pa.schema([("doc_id", pa.int64()), ("dk", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
 
     def pass_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc_id, text, done, found in zip(*(textnp.column(batch, c) for c in ("doc_id", "text", "done", "found"))):
+            for doc_id, dk, text, done, found in zip(*(textnp.column(batch, c) for c in ("doc_id", "dk", "text", "done", "found"))):
                 windows = [(d["p0"], d["n"]) for d in [*(done.as_py() or []), *(found.as_py() or [])]]
-                out.append(dict(zip(schema.names, (doc_id.as_py(), *cut(text.as_py(), windows, length)))))
+                out.append(dict(zip(schema.names, (doc_id.as_py(), dk.as_py(), *cut(text.as_py(), windows, length)))))
             yield pa.RecordBatch.from_pylist(out, schema)
 
     return pass_
 
 
+def passage_prints(batches: Iterator[pa.RecordBatch], passage: int, print_: int) -> Iterator[pa.RecordBatch]:
+    """(print, key): of each ``passage`` words in a row of a row's text the least hash of ``print_`` words in a row."""
+    width = passage - print_ + 1
+    low = np.uint64((1 << PLACE_BITS) - 1)
+    with np.errstate(over="ignore"):
+        for batch in batches:
+            for at, to, data, offsets in textnp.pieces(textnp.column(batch, "text"), PIECE):
+                starts, ends, first = textnp.spans(~textnp.IS_SPACE[data], offsets)
+                every, row = textnp.span_sums(data, starts, ends), np.repeat(np.arange(to - at), np.diff(first))
+                found, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+                for base in range(0, len(every) - passage + 1, WORDS):
+                    words, own = every[base : base + WORDS + passage - 1], row[base : base + WORDS + passage - 1]
+                    sums = np.zeros(len(words) + 1, np.uint64)
+                    np.cumsum(words * textnp.powers(len(words), textnp.MULT_INV), out=sums[1:])
+                    grams = textnp.mix((sums[print_:] - sums[:-print_]) * textnp.powers(len(words) - print_ + 1))
+                    keyed = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
+                    least = (least_in_window(keyed, width) & low).astype(np.int64)
+                    p = np.unique(least[own[: len(least)] == own[passage - 1 :]])
+                    found.append(grams[p])
+                    rows.append(own[p])
+                # Once for each row of the table, so that what is there twice is in two rows.
+                prints, rows = np.unique(np.stack([np.concatenate(found), np.concatenate(rows).astype(np.uint64)]), axis=1)
+                key = textnp.column(batch, "key").take(pa.array(rows.astype(np.int64) + at))
+                yield pa.RecordBatch.from_arrays([pa.array(prints.view(np.int64)), key], ["print", "key"])
+
+
+def with_passages(docs: DataFrame, passage: int = PASSAGE, print_: int = PRINT) -> DataFrame:
+    """The keys (column ``key``) of the rows of ``docs`` that share a passage with another row.
+
+    Every passage of ``passage`` words that two rows share is found, and none of under ``print_`` words.
+    """
+    prints = written(docs.select("key", "text").transform(mapped, lambda b: passage_prints(b, passage, print_), "print long, key long"))
+    several = written(prints.groupBy("print").count().where("count > 1").select("print"), True)
+    keys = written(prints.join(several, "print").select("key").distinct(), True)
+    done_with(prints, several)
+    return keys
+
+
 def removed(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """A row for each row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    """A row for each row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256, has_passage.
+
+    ``has_passage``: whether the row shares a passage of PASSAGE words with another (it may be one of PRINT words already),
+    whatever the bytes of it: such a passage is reported and loses bytes only where ``length`` bytes repeat.
+    """
+    before = len(WRITTEN)
     docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("dk", F.xxhash64("text"))
-    runs = written(docs.mapInArrow(lambda b: anchored_runs(b, length, gram), RUNS_DDL))
-
-    # Names of grams, then of runs. A hot name has many rows, so it is counted before it is joined.
-    again = written(runs.groupBy("gram").agg(F.sum("times").alias("times")).where("times > 1").select("gram"), True)
-    runs = written(runs.join(again, "gram"))
-    whole = runs.groupBy("gram", "c1", "c2").agg(F.sum("times").alias("times"), F.min(F.struct("doc_id", "dk", "p0")).alias("copy"))
-    whole = written(whole, True)
-    edges = written(whole.groupBy("gram").agg((F.min("times") == 1).alias("edge")), True)
-    whole = written(whole.join(edges, "gram"), True)
+    passages = with_passages(docs.withColumn("key", F.xxhash64("doc_id", "dk"))).withColumn("has_passage", F.lit(True))
+    every = written(docs.transform(mapped, lambda b: anchored_runs(b, length, gram), RUNS_DDL))
+
+    # Names of grams, then of runs. A hot name has many rows, so it is counted, and the counts written, before they are joined.
+    again = written(every.groupBy("gram").agg(F.sum("times").alias("times")).where("times > 1").select("gram"), True)
+    runs = written(every.join(again, "gram"))
+    done_with(every, again)
+    counted = runs.groupBy("gram", "c1", "c2").agg(F.sum("times").alias("times"), F.min(F.struct("doc_id", "dk", "p0")).alias("copy"))
+    counted = written(counted, True)
+    edges = written(counted.groupBy("gram").agg((F.min("times") == 1).alias("edge")), True)
+    whole = written(counted.join(edges, "gram"), True)
     mine = F.struct("doc_id", "dk", "p0").eqNullSafe(F.col("copy"))
     kind = F.when(F.col("times") == 1, HARD).when(F.col("edge") & mine, PARTNER).otherwise(FULL)
-    by_doc = runs.drop("times").join(whole, ["gram", "c1", "c2"]).select("doc_id", "dk", F.struct("p0", "n", "ahead", "all", kind.alias("kind")).alias("run")).groupBy("doc_id", "dk").agg(F.collect_list("run").alias("runs"))
+    # Copies that share an id have the same runs, which are theirs once.
+    by_doc = runs.drop("times").join(whole, ["gram", "c1", "c2"]).select("doc_id", "dk", F.struct("p0", "n", "ahead", "all", kind.alias("kind")).alias("run")).groupBy("doc_id", "dk").agg(F.collect_set("run").alias("runs"))
 
     null_safe = lambda a, b: a.doc_id.eqNullSafe(b.doc_id) & (a.dk == b.dk)
     second = docs.join(by_doc, null_safe(docs, by_doc), "left").select(docs.doc_id, docs.dk, "text", "runs")
-    second = written(second.mapInArrow(_second_pass(length), SECOND))
+    second = written(second.transform(mapped, _second_pass(length), SECOND))
+    done_with(runs, counted, edges, whole)
 
     # Names of blocks, then of single strings.
-    parts = second.where("step = 1").select("doc_id", "dk", "hard", "p0", "n", "core", "w1", "w2", "names")
-    parts = parts.join(parts.groupBy("core").agg(F.count("*").alias("count"), F.max("hard").alias("any_hard")).where("count > 1 AND any_hard").select("core"), "core")
-    parts = written(parts.join(parts.groupBy("core", "w1", "w2").agg(F.count("*").alias("times"), F.min(F.struct("doc_id", "dk", "p0")).alias("copy")), ["core", "w1", "w2"]))
-    settled = parts.where("hard AND times > 1").select("doc_id", "dk", "p0", "n")
+    every = second.where("step = 1").select("doc_id", "dk", "hard", "p0", "n", "core", "w1", "w2", "names")
+    again = written(every.groupBy("core").agg(F.count("*").alias("count"), F.max("hard").alias("any_hard")).where("count > 1 AND any_hard").select("core"), True)
+    some = written(every.join(again, "core"))
+    counted = written(some.groupBy("core", "w1", "w2").agg(F.count("*").alias("times"), F.min(F.struct("doc_id", "dk", "p0")).alias("copy")), True)
+    parts = written(some.join(counted, ["core", "w1", "w2"]))
+    done_with(again, some, counted)
+    sure = parts.where("hard AND times > 1").select("doc_id", "dk", "p0", "n")
     rest = parts.where((F.col("times") == 1) | F.struct("doc_id", "dk", "p0").eqNullSafe(F.col("copy"))).select("doc_id", "dk", (F.col("hard") & (F.col("times") == 1)).alias("hard"), "p0", "n", "core", "names")
-    strings = written(rest.mapInArrow(each_string, "doc_id long, dk long, hard boolean, core long, p long, name long"))
-    again = strings.groupBy("core", "name").count().where("count > 1").select("core", "name")
+    strings = written(rest.transform(mapped, each_string, "doc_id long, dk long, hard boolean, core long, p long, name long"))
+    again = written(strings.groupBy("core", "name").count().where("count > 1").select("core", "name"), True)
     found = strings.where("hard").join(again, ["core", "name"]).select("doc_id", "dk", F.col("p").alias("p0"), F.lit(1).alias("n"))
-    found = settled.unionByName(found).groupBy("doc_id", "dk").agg(F.collect_list(F.struct("p0", "n")).alias("found"))
+    found = sure.unionByName(found).groupBy("doc_id", "dk").agg(F.collect_set(F.struct("p0", "n")).alias("found"))
     waiting = second.where("step = 2").select("doc_id", "dk", "text", "done")
-    last = waiting.join(found, null_safe(waiting, found), "left").select(waiting.doc_id, "text", "done", "found").mapInArrow(_last_pass(length), RESULT)
-    return second.where("step = 0").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").unionByName(last)
+    last = waiting.join(found, null_safe(waiting, found), "left").select(waiting.doc_id, waiting.dk, "text", "done", "found").transform(mapped, _last_pass(length), RESULT)
+    out = second.where("step = 0").select("doc_id", "dk", "n_bytes", "n_removed", "n_spans", "kept_sha256").unionByName(last)
+    out = out.withColumn("key", F.xxhash64("doc_id", "dk")).join(passages, "key", "left")
+    return settled(out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", F.coalesce("has_passage", F.lit(False)).alias("has_passage")), before)
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
