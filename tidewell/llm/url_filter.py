@@ -3,7 +3,8 @@
 A given rule fits its host and all subdomains where the path starts with the rule's; the longest wins.
 Where none fits, mined rules decide: combinations of URL tokens that are frequent enough among labelled
 pages (support) and mostly on pages of low quality (confidence, lift), without those that a part of them
-already gives. Both kinds match by an inverted index: a URL's keys (host suffixes; tokens) are joined with
+already gives. Tokens that the same labelled pages have stand for each other, the least for all, so copies
+of a page don't give all combinations of what they share. Both kinds match by an inverted index: a URL's keys (host suffixes; tokens) are joined with
 the rules' keys, and a combination fits where all its tokens were met. The rules' side is broadcast if it
 has at most BROADCAST_RULES rows.
 
@@ -15,9 +16,10 @@ Other columns are ignored.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import ceil
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import lower_ascii, table, written
@@ -30,9 +32,9 @@ BAD = "label:bad"
 class Mining:
     """At least ``support`` of all labelled pages and ``least`` pages; ``confidence`` of them bad, ``lift`` times the share of all."""
 
-    support: float = 0.002
-    least: int = 5
-    confidence: float = 0.6
+    support: float = 0.0005
+    least: int = 3
+    confidence: float = 0.5
     lift: float = 2.0
 
 
@@ -64,12 +66,19 @@ def tokens(url: Column) -> Column:
 def mine(pages: DataFrame, labels: DataFrame, mining: Mining = Mining()) -> DataFrame:
     """(rule, items, confidence, support): the combinations that tell bad pages."""
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    seen = pages.join(usable, pages.page_id == usable.doc_id).select(F.array_append(tokens(F.col("url")), F.when(F.col("quality") == 0, BAD).otherwise("label:good")).alias("items"))
-    seen = written(seen)
-    n, bad = seen.agg(F.count("*"), F.count_if(F.array_contains("items", BAD))).head()
+    seen = pages.join(usable, pages.page_id == usable.doc_id).select("quality", tokens(F.col("url")).alias("tokens"))
+    seen = written(seen.select(F.monotonically_increasing_id().alias("id"), (F.col("quality") == 0).alias("bad"), "tokens"))
+    n, bad = seen.agg(F.count("*"), F.count_if("bad")).head()
     if not bad:
         return pages.sparkSession.createDataFrame([], "rule string, items array<string>, confidence double, support double")
-    sets = FPGrowth(itemsCol="items", minSupport=max(mining.support, mining.least / n)).fit(seen).freqItemsets
+    fewest = max(mining.least, ceil(mining.support * n))
+    each = seen.select("id", "bad", F.explode("tokens").alias("token"))
+    having = each.groupBy("token").agg(F.count("*").alias("n"), F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("who")).where(F.col("n") >= fewest)
+    # Tokens of the same pages: the least of them.
+    named = written(having.select("token", F.min("token").over(Window.partitionBy("n", "who")).alias("item")))
+    baskets = each.join(named, "token").groupBy("id", "bad").agg(F.collect_set("item").alias("items")).select(F.array_append("items", F.when(F.col("bad"), BAD).otherwise("label:good")).alias("items"))
+    baskets = written(baskets)
+    sets = FPGrowth(itemsCol="items", minSupport=(fewest - 0.5) / max(1, baskets.count())).fit(baskets).freqItemsets
     sets = written(sets.where(~F.array_contains("items", "label:good")).select(F.array_sort(F.array_remove("items", BAD)).alias("items"), F.array_contains("items", BAD).alias("bad"), "freq"))
     own = sets.where("bad AND size(items) > 0").select("items", F.col("freq").alias("hits"))
     rules = own.join(sets.where("NOT bad"), "items").select("items", (F.col("hits") / F.col("freq")).alias("confidence"), (F.col("hits") / n).alias("support"))
