@@ -73,9 +73,23 @@ def test_stages_on_odd_tables(spark, odd, nothing, empty):
         assert out.count() <= docs.count()
 
 
-def test_near_dedup_stage_keeps_one_row_of_an_id(spark, odd):
-    kept = [r.doc_id for r in corpus_pipeline.near_dedup_stage(spark, odd, DATA).collect()]
-    assert kept.count(900_012) == 1 and kept.count(900_006) == 1 and kept.count(900_007) == 0 and kept.count(None) == 2
+def test_near_dedup_stage_on_odd_rows(spark, odd):
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_dedup_stage(spark, odd, DATA).collect()]
+    ids = [i for i, _ in kept]
+    # Of the copies under 900_012 one stays, and the other text under it; a text without an id stays, as does one without words.
+    assert sorted(t for i, t in kept if i == 900_012) == ["another text of one id", "one"]
+    assert ids.count(900_006) == 1 and ids.count(900_007) == 0 and ids.count(None) == 2
+    copies = odd.where("doc_id IS NULL").union(odd.where("doc_id IS NULL")).union(odd.where("doc_id = 900006").selectExpr("CAST(NULL AS LONG)", "text", *odd.columns[2:]))
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_dedup_stage(spark, odd.where("doc_id = 900006").union(copies), DATA).collect()]
+    assert sorted(kept, key=str) == sorted([(900_006, "same text here, twice over and over"), (None, "a row without an id, and some words in it"), (None, None)], key=str)
+
+
+def test_decontamination_stage_on_odd_rows(spark, odd):
+    text = spark.read.parquet(f"{DATA}/benchmark.parquet").where("text IS NOT NULL").head().text
+    bad = spark.createDataFrame([(None, text), (900_012, text)], "doc_id long, text string")
+    docs = odd.unionByName(bad, allowMissingColumns=True)
+    out = corpus_pipeline.decontamination_stage(spark, docs, DATA)
+    assert out.columns == odd.columns and out.count() == odd.count() and out.where(F.col("text") == text).count() == 0
 
 
 def test_registered():
