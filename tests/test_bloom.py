@@ -45,11 +45,11 @@ def tables(spark, tmp_path_factory):
 
 
 def test_bytes(spark, tables):
-    got = {r.doc_id: r.filter and bytes.fromhex(r.filter) for r in QUERIES["bloom_create_bytes_whole"](spark, tables[0]).collect()}
+    got = {r.doc_id: r.filter and bytes.fromhex(r.filter) for r in QUERIES["bloom_create_bytes"](spark, tables[0]).collect()}
     assert got == tables[1]
 
 
-@pytest.mark.parametrize(("name", "words"), [("bloom_contains_whole", ("the",)), ("bloom_contains_all_whole", ("the", "of"))])
+@pytest.mark.parametrize(("name", "words"), [("bloom_contains", ("the",)), ("bloom_contains_all", ("the", "of"))])
 def test_contains(spark, tables, name, words):
     got = {r.doc_id: r.may for r in QUERIES[name](spark, tables[0]).collect()}
     assert got == {i: has(blob, words) for i, blob in tables[1].items()}

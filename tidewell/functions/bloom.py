@@ -1,4 +1,4 @@
-"""Bloom filters of string arrays as binary values, in SQL expressions alone.
+"""Bloom filters of string arrays as binary values: made for whole Arrow batches at once, asked in SQL expressions alone.
 
 Layout, little-endian: four 32-bit words (magic, bits, hash functions, 0), then the bits, lowest first. The
 i-th hash of an item is ``b + i * (b >> 16) + i * i`` with b the first 48 bits of its MD5, so that any engine
@@ -7,8 +7,13 @@ with MD5 can read a filter.
 
 from __future__ import annotations
 
+import hashlib
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 # Fixed values of the layout.
 MAGIC, HEADER = 0x424C4F4D, 16
@@ -16,38 +21,46 @@ BITS, HASHES = 10, 3
 MIN_BITS, MAX_BITS = 64, 8_388_608
 
 
-def _le32(value: str) -> str:
-    """The hexadecimal digits of a 32-bit word, lowest byte first."""
-    digits = f"lpad(hex({value}), 8, '0')"
-    return f"concat(substr({digits}, 7, 2), substr({digits}, 5, 2), substr({digits}, 3, 2), substr({digits}, 1, 2))"
-
-
 def _base(item: str) -> str:
     return f"CAST(conv(substr(md5(CAST({item} AS BINARY)), 1, 12), 16, 10) AS BIGINT)"
 
 
-def num_bits_sql(items: str, bits: str) -> str:
-    """Ten (or ``bits``) for each item, nulls too, within the limits and in whole bytes."""
-    return f"CAST(ceil(least(greatest(greatest(size({items}), 1) * CAST(least(greatest(coalesce({bits}, {BITS}), 1), 64) AS BIGINT), {MIN_BITS}), {MAX_BITS}) / 8) * 8 AS BIGINT)"
+def _or(values: pa.Array | None, size: int, default: int, most: int) -> np.ndarray:
+    """``values`` within 1 and ``most``, and ``default`` for nulls and where there are none."""
+    if values is None:
+        return np.full(size, default, np.int64)
+    return np.clip(values.cast(pa.int64()).fill_null(default).to_numpy(zero_copy_only=False), 1, most)
 
 
-def create_sql(items: str, bits: str = str(BITS), hashes: str = str(HASHES)) -> str:
-    """A filter of the items that aren't null; null for a null array.
+def filters(items: pa.Array, bits: pa.Array | None = None, hashes: pa.Array | None = None) -> pa.Array:
+    """A filter of each array's items that aren't null; null for a null array.
 
-    Set positions are sorted once, and each byte's last position writes the byte and the zeros before it,
-    so the work grows with the items and the size, not with their product.
+    It has ten (or ``bits``) bits for each item, nulls too, within the limits and in whole bytes.
     """
-    k = f"least(greatest(coalesce({hashes}, {HASHES}), 1), 16)"
-    positions = (
-        f"array_sort(array_distinct(flatten(transform(array_compact({items}), x -> transform(array({_base('x')}), b -> "
-        f"transform(sequence(0, {k} - 1), i -> (b + i * shiftrightunsigned(b, 16) + i * i) % m))[0]))))"
-    )
-    own = "aggregate(transform(sequence(0, 7), q -> CASE WHEN get(s, i - q) DIV 8 = p DIV 8 THEN shiftleft(1, CAST(get(s, i - q) % 8 AS INT)) ELSE 0 END), 0, (a, y) -> a + y)"
-    before = "coalesce(array_max(transform(sequence(1, 8), q -> CASE WHEN get(s, i - q) DIV 8 < p DIV 8 THEN get(s, i - q) DIV 8 END)), -1)"
-    piece = f"CASE WHEN get(s, i + 1) DIV 8 = p DIV 8 THEN '' ELSE concat(repeat('00', CAST(p DIV 8 - {before} - 1 AS INT)), lpad(hex({own}), 2, '0')) END"
-    body = f"concat(array_join(transform(s, (p, i) -> {piece}), ''), repeat('00', CAST(m DIV 8 - 1 - coalesce(array_max(s) DIV 8, -1) AS INT)))"
-    header = f"concat('{MAGIC.to_bytes(4, 'little').hex()}', {_le32('m')}, {_le32(f'CAST({k} AS BIGINT)')}, '00000000')"
-    return f"CASE WHEN {items} IS NOT NULL THEN transform(array({num_bits_sql(items, bits)}), m -> transform(array({positions}), s -> unhex(concat({header}, {body})))[0])[0] END"
+    n = len(items)
+    sizes = items.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    room = np.clip(np.maximum(sizes, 1) * _or(bits, n, BITS, 64), MIN_BITS, MAX_BITS)
+    room, k = -(-room // 8) * 8, _or(hashes, n, HASHES, 16)
+    words = items.flatten().dictionary_encode()
+    base = np.array([int.from_bytes(hashlib.md5(w.encode()).digest()[:6], "big") for w in words.dictionary.to_pylist()], np.int64)
+    own = words.indices.is_valid().to_numpy(zero_copy_only=False)
+    row, b = np.repeat(np.arange(n), sizes)[own], base[words.indices.fill_null(0).to_numpy(zero_copy_only=False)[own]] if len(base) else base
+    ends = np.cumsum(HEADER + room // 8)
+    starts = ends - HEADER - room // 8
+    out = np.zeros(int(ends[-1]) if n else 0, np.uint8)
+    head = np.stack([np.full(n, MAGIC), room, k, np.zeros(n, np.int64)], axis=1).astype("<u4").view(np.uint8).reshape(n, HEADER)
+    out[starts[:, None] + np.arange(HEADER)] = head
+    for i in range(int(k.max(initial=0))):
+        some = k[row] > i
+        bit = (b[some] + i * (b[some] >> 16) + i * i) % room[row[some]]
+        np.bitwise_or.at(out, starts[row[some]] + HEADER + bit // 8, (1 << (bit % 8)).astype(np.uint8))
+    made = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(np.r_[0, ends].astype(np.int64).tobytes()), pa.py_buffer(out)])
+    return pa.compute.if_else(items.is_valid(), made, pa.scalar(None, pa.large_binary())).cast(pa.binary())
+
+
+@F.arrow_udf(BinaryType())
+def create(items: pa.Array, bits: pa.Array = None, hashes: pa.Array = None) -> pa.Array:
+    return filters(items, bits, hashes)
 
 
 def _word(blob: str, at: int) -> str:
@@ -85,7 +98,7 @@ def contains_all_sql(blob: str, items: str) -> str:
 
 
 def bloom_filter_create(items: str, bits: str | int = BITS, hashes: str | int = HASHES) -> Column:
-    return F.expr(create_sql(items, str(bits), str(hashes)))
+    return create(F.expr(items).cast("array<string>"), F.expr(str(bits)).cast("int"), F.expr(str(hashes)).cast("int"))
 
 
 def bloom_filter_contains(blob: str, item: str) -> Column:

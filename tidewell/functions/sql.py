@@ -1,4 +1,4 @@
-"""The engine's functions under SQL names, as temporary SQL functions: Catalyst puts their text in place."""
+"""The engine's functions under SQL names: temporary SQL functions, whose text Catalyst puts in place, and one for Arrow batches."""
 
 from __future__ import annotations
 
@@ -21,7 +21,6 @@ def version() -> Column:
 FUNCTIONS = {
     "array_contains_all(h ARRAY<STRING>, n ARRAY<STRING>, columnar BOOLEAN DEFAULT true) RETURNS BOOLEAN": arrays.contains_all_sql("h", "n"),
     "array_contains_all_bloom(h ARRAY<STRING>, n ARRAY<STRING>, f BINARY) RETURNS BOOLEAN": arrays.contains_all_bloom_sql("h", "n", "f"),
-    f"bloom_filter_create(items ARRAY<STRING>, bits INT DEFAULT {bloom.BITS}, hashes INT DEFAULT {bloom.HASHES}) RETURNS BINARY": bloom.create_sql("items", "bits", "hashes"),
     "bloom_filter_contains(f BINARY, item STRING) RETURNS BOOLEAN": bloom.contains_sql("f", "item"),
     "bloom_filter_contains_all(f BINARY, items ARRAY<STRING>) RETURNS BOOLEAN": bloom.contains_all_sql("f", "items"),
     "search_hint(c STRING, v ARRAY<STRING>) RETURNS BOOLEAN": "true",
@@ -32,3 +31,4 @@ FUNCTIONS = {
 def register(spark: SparkSession) -> None:
     for head, body in FUNCTIONS.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {head} RETURN {body}")
+    spark.udf.register("bloom_filter_create", bloom.create)

@@ -98,7 +98,7 @@ class RemoteRelation:
         if self.is_http:
             found = http.plan(self.url, self.pushed_sql(), self.auth_token, self.split_size or -1)
             return self.spark.createDataFrame([(list(s.endpoints), s.query_id, s.query, s.producer_id, s.split_size, s.query_checksum) for s in found], arrow_table.SPLITS)
-        return local.plan_splits(self.spark, self.url, self.pushed_sql(), self._local(), self.split_size)
+        return local.plan_splits(self.spark, self.url, self.pushed_sql(), self._local(), self.split_size, bool(self.source_table) and not self.filters and self.columns is None)
 
     def group_by(self, *keys: str) -> Grouped:
         return Grouped(self, keys)
@@ -140,10 +140,7 @@ class Grouped:
         r = self.relation
         df = local.table(r.spark, r.url, r.source_table)
         splits = local.split_count(df, r.split_size)
-        if splits > 1:
-            df = local.with_split(df, df.count(), splits)
-        else:
-            df = df.withColumn("split_id", F.lit(0).cast("long"))
+        df = local.with_split(df, local.split_rows(df, splits)) if splits > 1 else df.withColumn("split_id", F.lit("0"))
         for f in r.filters:
             df = df.where(f.column())
         keys = [F.col(quoted(k, "`")) for k in self.keys]

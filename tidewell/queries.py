@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import __version__
 from .functions import arrays, bloom
 from .functions.sql import search_hint, version
 from .operators.remote import read_remote, remote_splits
@@ -208,32 +210,34 @@ def split_vs_nonsplit(spark, d):
 
 @query("SELECT l_orderkey, l_linenumber FROM lineitem")
 def split_scan_covers(spark, d):
-    df = local.table(spark, d, "lineitem")
-    rows = local.with_split(df, df.count(), 7)
-    return rows.groupBy("split_id", "l_orderkey", "l_linenumber").agg(F.count("*").alias("n")).select("l_orderkey", "l_linenumber", F.explode(F.array_repeat(F.lit(1), F.col("n").cast("int"))).alias("one")).drop("one")
+    """Each split's own query, and their union."""
+    found = remote_splits(spark, d, "lineitem", split_size=200_000).select("query").collect()  # a row for each split
+    return reduce(DataFrame.unionAll, (spark.sql(r.query).select("l_orderkey", "l_linenumber") for r in found))
 
 
-@query()
+@query("SELECT true AS own_ids, true AS sound, count(*) AS n_rows FROM lineitem")
 def splits(spark, d):
-    return remote_splits(spark, d, "lineitem", split_size=200_000)
+    """The splits of a table: their ids and checksums, and the rows that their queries give together."""
+    found = remote_splits(spark, d, "lineitem", split_size=200_000)
+    rows = reduce(DataFrame.unionAll, (spark.sql(r.query).select(F.lit(1)) for r in found.select("query").collect()))
+    said = found.agg((F.count("*") == F.count_distinct("query_id")).alias("own_ids"), F.bool_and(F.md5("query") == F.col("query_checksum")).alias("sound"))
+    return said.crossJoin(rows.agg(F.count("*").alias("n_rows")))  # one row each
 
 
 # Functions of arrays and Bloom filters.
 
 _H = "split(text, ' ')"
-_N = "CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 5 = 1 THEN array() WHEN doc_id % 5 = 2 THEN array('the', NULL) WHEN doc_id % 5 = 3 THEN array('of', 'and') ELSE array('no such word') END"
-_OH = "CASE WHEN doc_id % 7 = 0 THEN [] ELSE string_split(text, ' ') END"
-_ON = "CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 5 = 1 THEN [] WHEN doc_id % 5 = 2 THEN ['the', NULL] WHEN doc_id % 5 = 3 THEN ['of', 'and'] ELSE ['no such word'] END"
+_N = "CASE lang WHEN 'en' THEN array('the', NULL) WHEN 'de' THEN array('und', 'der') WHEN 'fr' THEN array('no such word') WHEN 'es' THEN array() END"
+_ON = "CASE lang WHEN 'en' THEN ['the', NULL] WHEN 'de' THEN ['und', 'der'] WHEN 'fr' THEN ['no such word'] WHEN 'es' THEN [] END"
 
 
 def _needles(spark, d) -> DataFrame:
     df = read_remote(spark, d, "documents").to_df()
-    hay = f"CASE WHEN doc_id % 7 = 0 THEN array() ELSE {_H} END"
-    return df.select("doc_id", F.expr(hay).cast("array<string>").alias("h"), F.expr(_N).cast("array<string>").alias("n"))
+    return df.select("doc_id", F.expr(_H).alias("h"), F.expr(_N).cast("array<string>").alias("n"))
 
 
 _ALL = "CASE WHEN h IS NULL OR n IS NULL THEN NULL WHEN len(n) = 0 THEN true WHEN len(h) = 0 THEN false ELSE list_has_all(h, list_filter(n, lambda x: x IS NOT NULL)) END"
-_DOCS = f"(SELECT doc_id, CAST({_OH} AS VARCHAR[]) AS h, CAST({_ON} AS VARCHAR[]) AS n FROM documents)"
+_DOCS = f"(SELECT doc_id, string_split(text, ' ') AS h, CAST({_ON} AS VARCHAR[]) AS n FROM documents)"
 
 
 @query(f"SELECT doc_id, {_ALL} AS found FROM {_DOCS}")
@@ -252,56 +256,41 @@ def array_contains_all_bloom(spark, d):
     return rows.select("doc_id", arrays.array_contains_all("h", "n", blob="f").alias("found"))
 
 
-def _few(spark, d) -> DataFrame:
-    df = read_remote(spark, d, "documents").to_df()
-    return df.select("doc_id", F.expr(f"CASE WHEN doc_id % 9 = 0 THEN CAST(array() AS ARRAY<STRING>) WHEN doc_id % 9 = 1 THEN array('a', NULL, 'ü') WHEN doc_id % 9 = 2 THEN NULL ELSE filter({_H}, (x, i) -> i < 40) END").alias("items"))
+def _whole(spark, d) -> DataFrame:
+    return read_remote(spark, d, "documents").to_df().select("doc_id", F.expr(_H).alias("items"))
 
 
-_ITEMS = "(SELECT doc_id, CAST(CASE WHEN doc_id % 9 = 0 THEN [] WHEN doc_id % 9 = 1 THEN ['a', NULL, 'ü'] WHEN doc_id % 9 = 2 THEN NULL ELSE string_split(text, ' ')[1:40] END AS VARCHAR[]) AS items FROM documents)"
-_SIZED = f"(SELECT *, CAST(ceil(greatest(greatest(len(items), 1) * 10, 64) / 8.0) * 8 AS BIGINT) AS m FROM {_ITEMS})"
-_BITS = f"""(SELECT doc_id, items, m, list_distinct(flatten(list_transform(list_filter(items, lambda x: x IS NOT NULL),
-  lambda x: list_transform(range(3), lambda i: (CAST('0x' || substr(md5(x), 1, 12) AS BIGINT) + i * (CAST('0x' || substr(md5(x), 1, 12) AS BIGINT) >> 16) + i * i) % m)))) AS s FROM {_SIZED})"""
+# A row for each bit that is set, then for each byte: lists would take items times size.
+_BITS = """WITH s AS (SELECT *, CAST(ceil(least(greatest(greatest(len(items), 1) * 10, 64), 8388608) / 8.0) * 8 AS BIGINT) AS m FROM (SELECT doc_id, string_split(text, ' ') AS items FROM documents)),
+x AS (SELECT DISTINCT doc_id, m, unnest(items) AS x FROM s),
+b AS (SELECT doc_id, m, CAST('0x' || substr(md5(x), 1, 12) AS BIGINT) AS b FROM x WHERE x IS NOT NULL),
+p AS (SELECT DISTINCT doc_id, (b + i * (b >> 16) + i * i) % m AS p FROM b, range(3) AS t(i))"""
 _LE = "substr(printf('%08X', m), 7, 2) || substr(printf('%08X', m), 5, 2) || substr(printf('%08X', m), 3, 2) || substr(printf('%08X', m), 1, 2)"
 
 
-@query(f"""SELECT doc_id, CASE WHEN items IS NOT NULL THEN '4D4F4C42' || {_LE} || '0300000000000000' || array_to_string(list_transform(range(m // 8),
-  lambda j: printf('%02X', CAST(coalesce(list_sum(list_transform(list_filter(s, lambda p: p // 8 = j), lambda p: CAST(1 AS BIGINT) << CAST(p % 8 AS BIGINT))), 0) AS BIGINT))), '') END AS filter FROM {_BITS}""")
+@query(f"""{_BITS},
+g AS (SELECT doc_id, p // 8 AS j, bit_or(CAST(1 AS BIGINT) << CAST(p % 8 AS BIGINT)) AS v FROM p GROUP BY ALL),
+a AS (SELECT doc_id, unnest(range(m // 8)) AS j FROM s WHERE items IS NOT NULL),
+h AS (SELECT a.doc_id, string_agg(printf('%02X', coalesce(v, 0)), '' ORDER BY a.j) AS body FROM a LEFT JOIN g USING (doc_id, j) GROUP BY a.doc_id)
+SELECT s.doc_id, CASE WHEN items IS NOT NULL THEN '4D4F4C42' || {_LE} || '0300000000000000' || body END AS filter FROM s LEFT JOIN h USING (doc_id)""")
 def bloom_create_bytes(spark, d):
-    return _few(spark, d).select("doc_id", F.hex(bloom.bloom_filter_create("items")).alias("filter"))
+    return _whole(spark, d).select("doc_id", F.hex(bloom.bloom_filter_create("items")).alias("filter"))
 
 
-_HIT = "list_bool_and(list_transform(range(3), lambda i: list_contains(s, (CAST('0x' || substr(md5({0}), 1, 12) AS BIGINT) + i * (CAST('0x' || substr(md5({0}), 1, 12) AS BIGINT) >> 16) + i * i) % m)))"
+def _may(words: str) -> str:
+    return f"""{_BITS},
+q AS (SELECT doc_id, (b + i * (b >> 16) + i * i) % m AS p FROM (SELECT doc_id, m, CAST('0x' || substr(md5(w), 1, 12) AS BIGINT) AS b FROM s, (SELECT unnest([{words}]) AS w)), range(3) AS t(i)),
+f AS (SELECT q.doc_id, bool_and(p.p IS NOT NULL) AS may FROM q LEFT JOIN p USING (doc_id, p) GROUP BY q.doc_id)
+SELECT s.doc_id, CASE WHEN items IS NOT NULL THEN may END AS may FROM s JOIN f USING (doc_id)"""
 
 
-@query(f"SELECT doc_id, CASE WHEN items IS NULL THEN NULL WHEN len(list_filter(items, lambda x: x IS NOT NULL)) = 0 THEN false ELSE {_HIT.format(chr(39) + 'the' + chr(39))} END AS may FROM {_BITS}")
+@query(_may("'the'"))
 def bloom_contains(spark, d):
-    return _few(spark, d).withColumn("f", bloom.bloom_filter_create("items")).select("doc_id", bloom.bloom_filter_contains("f", "'the'").alias("may"))
-
-
-@query(f"SELECT doc_id, CASE WHEN items IS NULL THEN NULL WHEN len(list_filter(items, lambda x: x IS NOT NULL)) = 0 THEN false ELSE list_bool_and(list_transform(['the', 'of'], lambda y: {_HIT.format('y')})) END AS may FROM {_BITS}")
-def bloom_contains_all(spark, d):
-    return _few(spark, d).withColumn("f", bloom.bloom_filter_create("items")).select("doc_id", bloom.bloom_filter_contains_all("f", "array('the', NULL, 'of')").alias("may"))
-
-
-# The same over all words of every text. DuckDB's SQL above takes items times size, so tests hold these against brute force.
-
-
-def _whole(spark, d) -> DataFrame:
-    return read_remote(spark, d, "documents").to_df().select("doc_id", F.expr(_H).alias("items"))
-
-
-@query()
-def bloom_create_bytes_whole(spark, d):
-    return _whole(spark, d).select("doc_id", F.hex(bloom.bloom_filter_create("items")).alias("filter"))
-
-
-@query()
-def bloom_contains_whole(spark, d):
     return _whole(spark, d).withColumn("f", bloom.bloom_filter_create("items")).select("doc_id", bloom.bloom_filter_contains("f", "'the'").alias("may"))
 
 
-@query()
-def bloom_contains_all_whole(spark, d):
+@query(_may("'the', 'of'"))
+def bloom_contains_all(spark, d):
     return _whole(spark, d).withColumn("f", bloom.bloom_filter_create("items")).select("doc_id", bloom.bloom_filter_contains_all("f", "array('the', NULL, 'of')").alias("may"))
 
 
@@ -309,11 +298,13 @@ def bloom_contains_all_whole(spark, d):
 def bloom_semi_join(spark, d):
     """A filter of the few keys drops most rows of the large side before the exact join."""
     keys = read_remote(spark, d, "customer").where((col("c_mktsegment") == "BUILDING") & (col("c_nationkey") == 3)).select("c_custkey").to_df()
-    # A row of 1 MB at most, the largest filter.
-    made = keys.agg(F.collect_set(F.col("c_custkey").cast("string")).alias("items")).select(bloom.bloom_filter_create("items").alias("f"))
     orders = read_remote(spark, d, "orders").select("o_orderkey", "o_custkey").to_df()
-    near = orders.crossJoin(F.broadcast(made)).where(bloom.bloom_filter_contains("f", "CAST(o_custkey AS STRING)")).drop("f")
-    return near.join(keys, near.o_custkey == keys.c_custkey, "left_semi")
+    most = bloom.MAX_BITS // bloom.BITS
+    if keys.limit(most + 1).count() <= most:  # more keys than the largest filter is for would pass most rows
+        made = keys.agg(F.collect_set(F.col("c_custkey").cast("string")).alias("items")).select(bloom.bloom_filter_create("items").alias("f"))
+        # One row of 1 MB at most.
+        orders = orders.crossJoin(F.broadcast(made)).where(bloom.bloom_filter_contains("f", "CAST(o_custkey AS STRING)")).drop("f")
+    return orders.join(keys, orders.o_custkey == keys.c_custkey, "left_semi")
 
 
 @query("SELECT n_nationkey FROM nation")
@@ -321,7 +312,7 @@ def search_hint_filter(spark, d):
     return read_remote(spark, d, "nation").to_df().where(search_hint(F.col("n_name"), F.array(F.lit("x")))).select("n_nationkey")
 
 
-@query()
+@query(f"SELECT '{__version__}' AS version")
 def engine_version(spark, d):
     return spark.range(1).select(version().alias("version"))
 

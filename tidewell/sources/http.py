@@ -13,7 +13,8 @@ from dataclasses import dataclass
 import pyarrow as pa
 
 ARROW = "application/vnd.apache.arrow.stream"
-TIMEOUT = 30
+#: Seconds without a byte after which a login or plan, and a query, fail.
+TIMEOUT, QUERY_TIMEOUT = 30, 900
 
 
 class RemoteError(OSError):
@@ -62,7 +63,7 @@ def batches(url: str, query: str, token: str | None = None, query_id: int = -1)
     params = {"q": query} | ({"id": query_id} if query_id >= 0 else {})
     done = False
     try:
-        with _open(f"{base_url(url)}/v1/query?{urllib.parse.urlencode(params)}", ARROW, token) as response:
+        with _open(f"{base_url(url)}/v1/query?{urllib.parse.urlencode(params)}", ARROW, token, timeout=QUERY_TIMEOUT) as response:
             kind = response.headers.get("Content-Type", "")
             if kind and ARROW not in kind and "application/octet-stream" not in kind:
                 raise RemoteError(f"the server sent {kind}, not an Arrow stream")
@@ -70,6 +71,8 @@ def batches(url: str, query: str, token: str | None = None, query_id: int = -1)
                 yield pa.RecordBatch.from_pylist([], reader.schema)  # the schema, for empty results too
                 yield from reader
         done = True
+    except TimeoutError:
+        raise RemoteError(f"the server sent nothing for {QUERY_TIMEOUT} seconds") from None
     except pa.ArrowInvalid as e:
         raise RemoteError(f"not a valid Arrow stream: {e}") from None
     finally:
@@ -84,7 +87,7 @@ def schema(url: str, query: str, token: str | None = None) -> pa.Schema:
 
 def plan(url: str, query: str, token: str | None = None, split_size: int = -1) -> list[Split]:
     headers = {"x-dd-split-size": str(split_size)} if split_size > 0 else {}
-    with _open(f"{base_url(url)}/v1/plan?{urllib.parse.urlencode({'q': query})}", "application/json", token, headers) as response:
+    with _open(f"{base_url(url)}/v1/plan?{urllib.parse.urlencode({'q': query})}", "application/json", token, headers, timeout=TIMEOUT) as response:
         return parse_plan(response.read())
 
 

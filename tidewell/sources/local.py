@@ -8,8 +8,6 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .arrow_table import SPLITS
-
 SPLIT_BYTES = 128 << 20
 
 
@@ -40,25 +38,38 @@ def split_count(df: DataFrame, split_size: int | None) -> int:
     return max(1, math.ceil(size_bytes(df) / (split_size if split_size and split_size > 0 else SPLIT_BYTES)))
 
 
-def with_split(df: DataFrame, rows: int, splits: int) -> DataFrame:
-    """``df`` with ``split_id``: equal ranges of rows of each file, so that each row is in one split.
+def split_rows(df: DataFrame, splits: int) -> int:
+    """Rows of a split, so that there are about ``splits``: counting reads the files' footers alone."""
+    return max(1, math.ceil(df.count() / splits))
+
+
+def with_split(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` with ``split_id``: ranges of ``rows`` rows of each file, so that each row is in one split.
 
     All splits are read in one pass: skipping rows by number saves no reading, so a scan for each would
     read everything each time.
     """
-    step = max(1, math.ceil(rows / splits))
-    return df.select("*", F.floor(F.col("_metadata.row_index") / step).cast("long").alias("split_id"))
-
-
-def plan_splits(spark: SparkSession, folder: str, text: str, df: DataFrame, split_size: int | None) -> DataFrame:
-    """The splits of a table as rows: each with a query of its own, over ``row_index``."""
-    n = split_count(df, split_size)
-    rows = df.count()
-    step = max(1, math.ceil(rows / n))
-    producer = hashlib.md5(f"{folder}\0{text}\0{n}".encode()).hexdigest()
-    out = []
-    for k in range(n):
-        own = f"SELECT * FROM ({text}) AS _subq WHERE row_index >= {k * step} AND row_index < {(k + 1) * step}"
-        digest = hashlib.md5(own.encode()).hexdigest()
-        out.append(([folder], int(digest[:15], 16), own, producer, int(split_size or SPLIT_BYTES), digest))
-    return spark.createDataFrame(out, SPLITS)
+    return df.select("*", F.concat_ws("#", "_metadata.file_path", F.floor(F.col("_metadata.row_index") / rows).cast("string")).alias("split_id"))
+
+
+def plan_splits(spark: SparkSession, folder: str, text: str, df: DataFrame, split_size: int | None, whole_table: bool) -> DataFrame:
+    """The splits as rows, each with a query of its own, which ``spark.sql`` runs as it is.
+
+    A table's are ranges of rows of its files. Any other query is one split: its rows have no place in a file.
+    """
+    size = int(split_size or SPLIT_BYTES)
+    producer = hashlib.md5(f"{folder}\0{text}\0{size}".encode()).hexdigest()
+    if whole_table:
+        rows = split_rows(df, split_count(df, split_size))
+        files = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("n"))
+        ranges = files.select("file", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / rows))).alias("k"))
+        low, high = (((F.col("k") + i) * rows).cast("string") for i in (0, 1))
+        own = F.concat(F.lit("SELECT * FROM parquet.`"), F.col("file"), F.lit("` WHERE _metadata.row_index >= "), low, F.lit(" AND _metadata.row_index < "), high)
+        out = ranges.select(own.alias("query"))
+    else:
+        out = spark.createDataFrame([(text,)], "query string")
+    digest = F.md5(F.col("query"))
+    return out.select(
+        F.array(F.lit(folder)).alias("endpoints"), F.conv(F.substring(digest, 1, 15), 16, 10).cast("long").alias("query_id"), "query",
+        F.lit(producer).alias("producer_id"), F.lit(size).cast("long").alias("split_size"), digest.alias("query_checksum"),
+    )
