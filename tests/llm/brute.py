@@ -125,3 +125,38 @@ def url_rule(url: str | None, rules: list[tuple]) -> tuple:
         if (host == h or host.endswith("." + h)) and path.startswith("/" + p) and len(rule) > len(best[0] or ""):
             best = (rule, verdict)
     return host, path, *best
+
+
+def allocate(leaves: dict, mixture, budget: int) -> dict:
+    """Tokens for each leaf, from the tokens that leaves (paths of one length) hold."""
+    room: dict = {}
+    for path, tokens in leaves.items():
+        for k in range(len(path) + 1):
+            room[path[:k]] = room.get(path[:k], 0) + tokens * mixture.max_epochs
+    children: dict = {}
+    for path in room:
+        if path:
+            children.setdefault(path[:-1], []).append(path)
+    out: dict = {}
+
+    def give(node: tuple, amount: int) -> None:
+        if node not in children:
+            out[node] = amount
+            return
+        open_, share = sorted(children[node]), {}
+        while open_:
+            total = sum(mixture.weights.get(c, 1) for c in open_)
+            full = [c for c in open_ if room[c] * total <= amount * mixture.weights.get(c, 1)] if total else []
+            if not full:
+                share |= {c: amount * mixture.weights.get(c, 1) // total if total else 0 for c in open_}
+                break
+            for c in full:
+                share[c] = room[c]
+                amount -= room[c]
+            open_ = [c for c in open_ if c not in full]
+        for c, own in share.items():
+            give(c, own)
+
+    if () in room:
+        give((), min(budget, room[()]))
+    return out

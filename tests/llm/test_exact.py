@@ -295,16 +295,40 @@ def test_running(spark):
         assert total == list(accumulate(own)) and most == list(accumulate(own, max))
 
 
-def test_allocate():
+def allocated(spark, leaves: dict, own, budget: int) -> dict:
+    rows = [(*k, n) for k, n in leaves.items()]
+    out = mixture.allocate(spark.createDataFrame(rows, "l0 string, l1 string, l2 string, n long"), ["l0", "l1", "l2"], own, budget)
+    return {(r.l0, r.l1, r.l2): int(r.budget) for r in out.collect()}
+
+
+def test_allocate(spark):
     leaves = {("a", "x", "1"): 10, ("a", "x", "2"): 1000, ("a", "y", "1"): 1000, ("b", "x", "1"): 1000}
     own = mixture.Mixture(max_epochs=2)
-    got = mixture.allocate(leaves, own, 400)
+    got = allocated(spark, leaves, own, 400)
     # The short leaf gives what it lacks to its sibling; the other branches keep their shares.
     assert got == {("a", "x", "1"): 20, ("a", "x", "2"): 80, ("a", "y", "1"): 100, ("b", "x", "1"): 200}
     short = {("a", "x", "1"): 10, ("b", "x", "1"): 1000}
-    assert mixture.allocate(short, own, 400) == {("a", "x", "1"): 20, ("b", "x", "1"): 380}
-    assert mixture.allocate({}, own, 5) == {}
-    assert mixture.allocate(leaves, mixture.Mixture({("a",): 3}, max_epochs=9), 400)[("b", "x", "1")] == 100
+    assert allocated(spark, short, own, 400) == {("a", "x", "1"): 20, ("b", "x", "1"): 380}
+    assert allocated(spark, {}, own, 5) == {}
+    assert allocated(spark, leaves, mixture.Mixture({("a",): 3}, max_epochs=9), 400)[("b", "x", "1")] == 100
+
+
+def test_allocate_equals_brute_force(spark):
+    r = random.Random(12)
+    for _ in range(6):
+        leaves = {(r.choice("abc"), r.choice("xyz"), str(r.randrange(6))): r.choice([0, 1, 7, 100, 5000, 10**6]) for _ in range(40)}
+        weights = {k[: r.randrange(1, 4)]: r.choice([0, 1, 2, 5]) for k in r.sample(sorted(leaves), 8)}
+        own = mixture.Mixture(weights, max_epochs=r.choice([1, 3]))
+        budget = sum(leaves.values()) * r.choice([1, 4, 30]) // 5
+        assert allocated(spark, leaves, own, budget) == brute.allocate(leaves, own, budget)
+
+
+@pytest.mark.parametrize("limit", [0, 10**6])
+def test_mixture_without_broadcast(spark, monkeypatch, limit):
+    monkeypatch.setattr(mixture, "BROADCAST_LEAVES", limit)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = mixture.mixed(docs, mixture.PRODUCTION, info=True).agg(F.count("*").alias("n"), F.sum("row.doc_id").alias("ids"), F.sum("n_tokens").alias("tokens")).head()
+    assert got == mixture.mixed(docs.repartition(5), mixture.PRODUCTION, info=True).agg(F.count("*").alias("n"), F.sum("row.doc_id").alias("ids"), F.sum("n_tokens").alias("tokens")).head()
 
 
 @pytest.mark.parametrize("epochs", [1, 3])
@@ -317,7 +341,7 @@ def test_mixture(spark, epochs):
     leaves: dict = {}
     for d in every:
         leaves.setdefault(d[1:4], []).append(d)
-    budgets = mixture.allocate({k: sum(d[4] for d in v) for k, v in leaves.items()}, own, sum(d[4] for d in every) * 4 // 5)
+    budgets = brute.allocate({k: sum(d[4] for d in v) for k, v in leaves.items()}, own, sum(d[4] for d in every) * 4 // 5)
     want = []
     for k, v in leaves.items():
         full, rest = divmod(budgets[k], sum(d[4] for d in v))

@@ -18,9 +18,8 @@ Other columns stay.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from math import isqrt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import table, words, written
@@ -31,9 +30,13 @@ def default_domain() -> Column:
     return F.element_at(F.array(*map(F.lit, ("web", "books", "news", "forum"))), (F.crc32("source") % 4).cast("int") + 1)
 
 
+#: Leaves (a row each of some hundred bytes) up to which their table is broadcast.
+BROADCAST_LEAVES = 50_000
+
+
 @dataclass(frozen=True)
 class Mixture:
-    """Weights are by path, such as ``("web",)`` or ``("web", "en")``; a path that isn't named has weight 1."""
+    """Weights, whole numbers, are by path, such as ``("web",)`` or ``("web", "en")``; a path that isn't named has weight 1."""
 
     weights: dict = field(default_factory=dict)
     #: Tokens to select, as a share of all tokens: (of, in).
@@ -42,39 +45,46 @@ class Mixture:
     seed: int = 1
 
 
-def allocate(leaves: dict, mixture: Mixture, budget: int) -> dict:
-    """Tokens for each leaf, from the tokens that leaves (paths of one length) hold."""
-    room: dict = {}
-    for path, tokens in leaves.items():
-        for k in range(len(path) + 1):
-            room[path[:k]] = room.get(path[:k], 0) + tokens * mixture.max_epochs
-    children: dict = {}
-    for path in room:
-        if path:
-            children.setdefault(path[:-1], []).append(path)
-    out: dict = {}
-
-    def give(node: tuple, amount: int) -> None:
-        if node not in children:
-            out[node] = amount
-            return
-        open_, share = sorted(children[node]), {}
-        while open_:
-            total = sum(mixture.weights.get(c, 1) for c in open_)
-            full = [c for c in open_ if room[c] * total <= amount * mixture.weights.get(c, 1)] if total else []
-            if not full:
-                share |= {c: amount * mixture.weights.get(c, 1) // total if total else 0 for c in open_}
-                break
-            for c in full:
-                share[c] = room[c]
-                amount -= room[c]
-            open_ = [c for c in open_ if c not in full]
-        for c, own in share.items():
-            give(c, own)
-
-    if () in room:
-        give((), min(budget, room[()]))
-    return out
+WHOLE = "decimal(20,0)"
+
+
+def _shared(nodes: DataFrame, parent: list[str]) -> DataFrame:
+    """``nodes`` (their path, room, weight w, and their parent's amount) with ``share``, what each gets of that amount.
+
+    By the room that a weight has, children fill up one after the other: each is full if its part of what those before
+    it left, by the weights from it on, is no less than its room. The others part the rest by their weights.
+    """
+    siblings = Window.partitionBy(*parent)
+    ordered = siblings.orderBy(F.when(F.col("w") > 0, F.col("room") / F.col("w")).asc_nulls_last(), nodes.columns[len(parent)])
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast(WHOLE)
+    left = F.col("amount") - F.coalesce(F.sum("room").over(before), zero)
+    weights = F.sum("w").over(siblings) - F.coalesce(F.sum("w").over(before), zero)
+    fits = (weights > 0) & (F.col("room") * weights <= left * F.col("w"))
+    nodes = nodes.withColumn("fits", fits).withColumn("full", F.bool_and("fits").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+    rest = F.col("amount") - F.coalesce(F.sum(F.when(F.col("full"), F.col("room"))).over(siblings), zero)
+    total = F.sum(F.when(~F.col("full"), F.col("w"))).over(siblings)
+    nodes = nodes.withColumn("rest", rest.cast(WHOLE)).withColumn("total", total.cast(WHOLE))
+    return nodes.withColumn("share", F.when(F.col("full"), F.col("room")).when(F.col("total") > 0, F.expr("(rest * w) DIV total")).otherwise(zero).cast(WHOLE))
+
+
+def allocate(leaves: DataFrame, names: list[str], mixture: Mixture, budget: int) -> DataFrame:
+    """The leaves (paths ``names`` and the tokens ``n`` that they hold) with their ``budget`` of tokens.
+
+    A level's nodes are met by their parents, from the root down; nothing is gathered, however many leaves there are.
+    """
+    weights = F.create_map(*(F.lit(x) for k, v in [(("",) * (len(names) + 1), 1), *mixture.weights.items()] for x in ("\x1f".join(k), v)))
+    amounts = None
+    for depth in range(len(names)):
+        path, parent = names[: depth + 1], names[:depth]
+        nodes = leaves.groupBy(*path).agg((F.sum("n") * mixture.max_epochs).cast(WHOLE).alias("room"))
+        nodes = nodes.withColumn("w", F.coalesce(F.try_element_at(weights, F.concat_ws("\x1f", *path)), F.lit(1)).cast(WHOLE))
+        if amounts is None:
+            nodes = nodes.withColumn("amount", F.least(F.lit(budget).cast(WHOLE), F.sum("room").over(Window.partitionBy()).cast(WHOLE)))  # a row for each domain
+        else:
+            nodes = nodes.join(amounts, parent)
+        amounts = _shared(nodes, parent).select(*path, F.col("share").alias("amount"))
+    return leaves.join(amounts, names).withColumnRenamed("amount", "budget")
 
 
 def _order(seed: int, epoch: Column) -> Column:
@@ -84,29 +94,30 @@ def _order(seed: int, epoch: Column) -> Column:
 
 def mixed(docs: DataFrame, mixture: Mixture, domain: Column | None = None, tokens: Column | None = None, info: bool = False) -> DataFrame:
     """The rows of ``docs``, one for each epoch that takes them; with ``info`` as ``row``, and domain, n_tokens and epoch beside it."""
-    spark = docs.sparkSession
     levels = [F.coalesce(c.cast("string"), F.lit("(none)")) for c in (default_domain() if domain is None else domain, F.col("lang"), F.col("source"))]
     tokens = F.size(words(F.col("text"))).cast("long") if tokens is None else tokens
     names = ["l0", "l1", "l2"]
     leafed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *(c.alias(n) for c, n in zip(levels, names)), "doc_id", tokens.alias("n"))
     narrow = written(leafed.select(*names, "doc_id", "n"))
-    leaves = {(r.l0, r.l1, r.l2): r for r in narrow.groupBy(*names).agg(F.sum("n").alias("n"), F.count("*").alias("docs")).collect()}  # a row for each source
-    total = sum(r.n for r in leaves.values())
-    budgets = allocate({k: r.n for k, r in leaves.items()}, mixture, total * mixture.budget[0] // mixture.budget[1])
-    rows = [(*k, budgets[k] // r.n if r.n else 0, budgets[k] % r.n if r.n else 0, isqrt(r.docs)) for k, r in leaves.items()]
-    plan = spark.createDataFrame(rows, "l0 string, l1 string, l2 string, epochs long, rest long, buckets long")
+    leaves = written(narrow.groupBy(*names).agg(F.sum("n").alias("n"), F.count("*").alias("docs")))
+    found = leaves.agg(F.sum("n").alias("n"), F.count("*").alias("leaves")).head()
+    budgets = allocate(leaves, names, mixture, (found.n or 0) * mixture.budget[0] // mixture.budget[1])
+    share = lambda sql: F.when(F.col("n") > 0, F.expr(sql)).otherwise(0).cast("long")
+    plan = written(budgets.select(*names, share("budget DIV n").alias("epochs"), share("budget % n").alias("rest"), F.sqrt("docs").cast("long").alias("buckets")))
+    # A table of leaves travels to each task where its rows are counted to be few; otherwise it is joined by the leaves.
+    side = F.broadcast if found.leaves <= BROADCAST_LEAVES else lambda df: df
 
     # The bucket in which each leaf's prefix ends, then the last hash that is in it.
-    placed = narrow.join(F.broadcast(plan), names).withColumn("h", _order(mixture.seed, F.col("epochs")))
+    placed = narrow.join(side(plan), names).withColumn("h", _order(mixture.seed, F.col("epochs")))
     placed = placed.withColumn("bucket", F.floor(F.col("h") / (F.lit(float(1 << 62)) / F.col("buckets"))).cast("long"))
     sums = placed.groupBy(*names, "rest", "bucket").agg(F.sum("n").alias("n")).select("*", F.expr("sum(n) OVER (PARTITION BY l0, l1, l2 ORDER BY bucket)").alias("upto"))
     ends = sums.where("upto > rest").groupBy(*names).agg(F.min(F.struct("bucket", (F.col("upto") - F.col("n")).alias("before"))).alias("e")).select(*names, "e.bucket", "e.before")
-    last = placed.join(F.broadcast(ends), [*names, "bucket"])  # a row for each source
+    last = placed.join(side(ends), [*names, "bucket"])
     last = last.select(*names, "h", "rest", "bucket", (F.col("before") + F.expr("sum(n) OVER (PARTITION BY l0, l1, l2, bucket ORDER BY h)")).alias("upto"))
     last = last.groupBy(*names).agg(F.min(F.when(F.col("upto") > F.col("rest"), F.col("h"))).alias("bound"))
-    bounds = written(plan.join(F.broadcast(last), names, "left").select(*names, "epochs", F.coalesce("bound", F.lit((1 << 62) + 1)).alias("bound"), (F.col("rest") > 0).alias("more")))
+    bounds = written(plan.join(side(last), names, "left").select(*names, "epochs", F.coalesce("bound", F.lit((1 << 62) + 1)).alias("bound"), (F.col("rest") > 0).alias("more")))
 
-    chosen = leafed.join(F.broadcast(bounds), names)
+    chosen = leafed.join(side(bounds), names)
     extra = (F.col("more") & (_order(mixture.seed, F.col("epochs")) < F.col("bound"))).cast("long")
     chosen = chosen.withColumn("taken", F.col("epochs") + extra).where("taken > 0")
     chosen = chosen.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("taken") - 1)))

@@ -44,7 +44,6 @@ RULES = (
     Rule("ellipsis_lines", 10, "n_ellipsis_lines", 3, "n_lines"),
     Rule("bullet_lines", 10, "n_bullet_lines", 9, "n_lines"),
     Rule("stop_words_few", 2, "one", 1, "n_stop_words"),
-    Rule("too_many_words", 1, "n_words", 1_000_000, "one"),
 )
 
 BASE_FAILED = "n_words < 50 OR 100 * n_repeat_words > 50 * n_words"
