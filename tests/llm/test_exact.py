@@ -50,6 +50,13 @@ def test_suffix_dedup_short_strings(spark, length):
     assert cuts(df, length, 6) == sorted(brute.repeats(own, length), key=str)
 
 
+def test_prefix_doubling_gives_the_same(spark, docs, odd, nothing):
+    own = spark.createDataFrame(docs[:80] + docs[:5] + [(None, "a" * 900)], "doc_id long, text string")
+    assert rows(suffix_dedup.doubled(own)) == cuts(own)
+    assert rows(suffix_dedup.doubled(odd, 57, 16)) == sorted(brute.repeats(ODD, 57), key=str)
+    assert rows(suffix_dedup.doubled(nothing)) == []
+
+
 def test_passages(spark, docs):
     """Passages of 51 to 62 words, which are mostly under 400 bytes: shared ones are found, also in copies and long texts, others aren't."""
     r = random.Random(8)

@@ -17,6 +17,7 @@ QUERIES = {
     "op10_toxicity": toxicity.op10_toxicity,
 }
 ORACLE_SQL = {
+    "op2_near_dedup": near_dedup.ORACLE,
     "op4_quality_rules": quality_rules.ORACLE,
     "op7_decontaminate": decontaminate.ORACLE,
 }

@@ -1,9 +1,11 @@
-"""Repeated byte strings by distributed prefix doubling.
+"""Repeated byte strings: names of growing length at positions, until they are unique or past the threshold.
 
 A byte goes if a string of ``length`` bytes over it also starts anywhere else, in the same document too.
-Doubling names the string of h bytes at a position, drops positions whose name is unique, and joins the
-names h apart into names of 2h bytes, until positions are unique or past the threshold. Naming every
-position would move some twenty times the text, so the first name is given at sampled positions:
+
+``doubled`` is prefix doubling as it is known: every position has the rank of the h bytes from it; Spark joins the ranks h
+apart to pairs, sorts the pairs and numbers them anew, and positions whose pair is unique leave, until h reaches ``length``.
+It moves each position several times, far more than the text (README has the figures), so the query uses ``removed``, which
+gives the same rows **by another method**: content hashes of growing length, at few positions first, in place of ranks:
 
 1. *Names of GRAM bytes at anchors.* The anchor of the string at p is the leftmost gram of least hash in
    it, which depends on the string alone: equal strings have equal anchors at equal places. All strings
@@ -15,12 +17,15 @@ position would move some twenty times the text, so the first name is given at sa
    share drops blocks in which nothing is repeated, the name of the whole block settles those repeated
    throughout, and in the few left each string of ``length`` bytes gets its name.
 
-A name is a content hash, so it needs no table of ranks and equal content has equal names everywhere;
-names that decide have 128 bits. Strings grow from GRAM bytes to ``length`` in a few rounds, and a position
-leaves as soon as its name is unique or its fate is known.
+Names that decide have 64 bits within a name of 64 bits of a shorter part, or twice 64 bits. They are polynomials modulo 2**64,
+so that equal names mean equal bytes but for chance, and for texts that are made to collide.
+
+Besides, ``has_passage`` tells rows that share a passage of over 50 words with another row, which is often of fewer than
+``length`` bytes and then removes nothing.
 
 Nulls: a null text is empty. Texts of under ``length`` bytes lose nothing. Repeated rows count as
-occurrences of each other, also with equal or null doc_id; each row is returned. Other columns are ignored.
+occurrences of each other, also with equal or null doc_id; each row is returned. Other columns are ignored. An empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -30,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import textnp
@@ -333,5 +338,45 @@ def removed(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     return settled(out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", F.coalesce("has_passage", F.lit(False)).alias("has_passage")), before)
 
 
+def position_names(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """(row, p, rank): the name of the ``size`` bytes at each position where they fit."""
+    for batch in batches:
+        for at, to, data, offsets in textnp.pieces(textnp.column(batch, "text"), PIECE):
+            if len(data) < size:
+                continue
+            names = Rolling(data).every(size)
+            row = np.repeat(np.arange(to - at), np.diff(offsets))[: len(names)]
+            p = np.arange(len(names)) - offsets[row]
+            fits = p + size <= np.diff(offsets)[row]
+            yield pa.RecordBatch.from_arrays([textnp.column(batch, "row").take(pa.array(row[fits] + at)), pa.array(p[fits]), pa.array(names[fits].view(np.int64))], ["row", "p", "rank"])
+
+
+def doubled(docs: DataFrame, length: int = LENGTH, first: int = 100) -> DataFrame:
+    """As ``removed``, without passages, by prefix doubling from names of ``first`` bytes at all positions."""
+    before = len(WRITTEN)
+    docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    docs = written(docs.select(F.monotonically_increasing_id().alias("row"), "*"))
+    ranks = written(docs.select("row", "text").transform(mapped, lambda b: position_names(b, first), "row long, p long, rank long"))
+    same = written(ranks.groupBy("rank").count().where("count > 1").select("rank"))
+    now, h = written(ranks.join(same, "rank").select("row", "p", "rank")), first
+    done_with(ranks, same)
+    while h < length:
+        step = min(h, length - h)
+        # A position whose partner has left has a unique string itself.
+        pairs = written(now.join(now.select("row", (F.col("p") - step).alias("p"), F.col("rank").alias("second")), ["row", "p"]))
+        several = pairs.groupBy("rank", "second").count().where("count > 1").select("rank", "second")
+        # Sorted pairs, numbered in their order.
+        numbered = written(written(several.repartitionByRange("rank", "second").sortWithinPartitions("rank", "second")).withColumn("new", F.monotonically_increasing_id()))
+        now, old = written(pairs.join(numbered, ["rank", "second"]).select("row", "p", F.col("new").alias("rank"))), now
+        done_with(old, pairs)
+        h += step
+    # Starts of repeated strings as runs, then the cut texts.
+    apart = Window.partitionBy("row").orderBy("p")
+    starts = now.withColumn("island", F.col("p") - F.row_number().over(apart)).groupBy("row", "island").agg(F.min("p").alias("p0"), F.count("*").alias("n"))
+    found = starts.groupBy("row").agg(F.collect_list(F.struct("p0", "n")).alias("found"))
+    cuts = docs.join(found, "row", "left").select("doc_id", F.lit(0).cast("long").alias("dk"), F.encode("text", "utf-8").alias("text"), F.lit(None).cast("array<struct<p0: long, n: long>>").alias("done"), "found")
+    return settled(cuts.transform(mapped, _last_pass(length), RESULT).drop("dk"), before)
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed(table(spark, sf_dir, "documents"))
