@@ -18,7 +18,7 @@ def test_entry(spark):
 
 
 def test_imports_without_the_optional_parts(tmp_path):
-    for name in ("tidewell", "__spark_entry__.py"):
+    for name in ("tidewell", "__spark_entry__.py", "corpus_pipeline.py"):
         (shutil.copytree if (ROOT / name).is_dir() else shutil.copy)(ROOT / name, tmp_path / name)
     shutil.rmtree(tmp_path / "tidewell/llm", ignore_errors=True)
     code = "import __spark_entry__ as e; q = e.queries(); assert 'q6_revenue' in q and 'pipeline' not in q and not any(n.startswith('op1_') for n in q)"
