@@ -195,3 +195,35 @@ def test_literals():
     assert col('a"b').sql() == '"a""b"'
     with pytest.raises(Unsupported):
         literal(b"x")
+
+
+def test_views_are_of_one_session(spark):
+    import pyarrow as pa
+    from pyspark.errors import AnalysisException
+
+    from tidewell.sources.arrow_ipc import forget, from_ipc
+
+    def stream(**columns):
+        table, out = pa.table(columns), pa.BufferOutputStream()
+        with pa.ipc.new_stream(out, table.schema) as writer:
+            writer.write_table(table)
+        return out.getvalue().to_pybytes()
+
+    other = spark.newSession()
+    from_ipc(spark, [stream(a=[1337])], "arrow_buffer")
+    from_ipc(other, [stream(b=[42])], "arrow_buffer")
+    assert spark.table("arrow_buffer").collect() == [(1337,)] and other.table("arrow_buffer").columns == ["b"]
+    with pytest.raises(AnalysisException):
+        from_ipc(spark, [stream(a=[1])], "arrow_buffer", force=False)
+    assert forget(spark, "arrow_buffer") and not forget(spark, "arrow_buffer")
+    assert other.table("arrow_buffer").collect() == [(42,)]
+    forget(other, "arrow_buffer")
+
+
+def test_a_token_from_a_session_variable(spark, server):
+    spark.sql("DECLARE OR REPLACE VARIABLE auth_token STRING DEFAULT 'secret'")
+    assert spark.sql(f"SELECT count(*) AS n FROM read_remote(url => '{server}', source_table => 'orders_small', auth_token => auth_token)").head().n == 5
+
+
+def test_estimated_bytes(spark, folder):
+    assert 0 < read_remote(spark, folder, "orders_small").estimated_bytes() < 10**6

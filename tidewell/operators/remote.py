@@ -100,6 +100,10 @@ class RemoteRelation:
             return self.spark.createDataFrame([(list(s.endpoints), s.query_id, s.query, s.producer_id, s.split_size, s.query_checksum) for s in found], arrow_table.SPLITS)
         return local.plan_splits(self.spark, self.url, self.pushed_sql(), self._local(), self.split_size, bool(self.source_table) and not self.filters and self.columns is None)
 
+    def estimated_bytes(self) -> int:
+        """What Catalyst expects the relation to hold, by which it picks joins; a server's is the default for sources that don't say."""
+        return local.size_bytes(self.to_df())
+
     def group_by(self, *keys: str) -> Grouped:
         return Grouped(self, keys)
 

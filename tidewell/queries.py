@@ -320,6 +320,15 @@ def engine_version(spark, d):
 # What else queries over such relations use.
 
 
+@query("SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_totalprice > 150000 GROUP BY o_orderstatus")
+def session_variable(spark, d):
+    """A variable of the session in a query's place of a literal."""
+    spark.sql("DECLARE OR REPLACE VARIABLE least_price DOUBLE DEFAULT 100000")
+    spark.sql("SET VARIABLE least_price = 150000")
+    orders = read_remote(spark, d, "orders").to_df()
+    return orders.where(F.expr("o_totalprice > session.least_price")).groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+
+
 @query("WITH big AS (SELECT * FROM orders WHERE o_totalprice > (SELECT avg(o_totalprice) FROM orders)) SELECT o_orderstatus, count(*) AS n FROM big GROUP BY o_orderstatus")
 def cte_subquery(spark, d):
     return read_remote(spark, d, sql="WITH big AS (SELECT * FROM orders WHERE o_totalprice > (SELECT avg(o_totalprice) FROM orders)) SELECT o_orderstatus, count(*) AS n FROM big GROUP BY o_orderstatus").to_df()
