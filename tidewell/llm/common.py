@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,11 +88,27 @@ def rest(spark: SparkSession) -> None:
     A heap that has grown stays so until a full collection; then it shrinks to what is in use. The driver's collection also
     lets Spark remove the shuffle files of plans that are gone.
     """
-    spark.sparkContext._jvm.System.gc()
+    rest_driver(spark)
     n = spark.sparkContext.defaultParallelism
     spark.range(0, n, 1, n).select(F.expr("reflect('java.lang.System', 'gc')")).collect()  # a row for each core
 
 
+def rest_driver(spark: SparkSession) -> None:
+    """Have the driver collect its garbage (the plans of many jobs, and with them their shuffle files) and give memory back."""
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    jvm.System.gc()
+    give_back()
+    # What the JVM freed outside its heap, mostly in compiling generated code, stays with its C library until it is told.
+    try:
+        server = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer()
+        invoke = next(m for m in jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethods() if m.getName() == "invoke")
+        arguments = gateway.new_array(jvm.java.lang.Object, 4)
+        arguments[0], arguments[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        invoke.invoke(server, arguments)
+    except (Py4JError, StopIteration):  # a JVM without that command
+        pass
+
+
 def mapped(df: DataFrame, function: Callable[[Iterator], Iterator], schema) -> DataFrame:
     """``df.mapInArrow(function, schema)``, whose workers give back the memory that they no longer use when a task ends."""
 

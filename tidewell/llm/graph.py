@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import rest_driver, written
 
 
 def _lower(both: DataFrame, kept: str) -> DataFrame:
@@ -31,3 +31,4 @@ def components(edges: DataFrame) -> DataFrame:
         if found == mark:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
         mark = found
+        rest_driver(now.sparkSession)

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textnp
-from .common import WRITTEN, mapped, settled, small_batches, table, written
+from .common import WRITTEN, mapped, rest_driver, settled, small_batches, table, written
 from .graph import components
 
 K = 64
@@ -251,6 +251,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     lists = written(inverted_lists(reps, settings), True)
     of = lists.select(F.col("rep").alias("node"), F.col("rep").alias("component")).distinct()
     texts = written(docs.transform(mapped, packed, "doc_id long, z binary").join(of, F.col("doc_id") == F.col("node"), "left_semi"))
+    rest_driver(docs.sparkSession)
     found = []
 
     def linked(pairs: DataFrame) -> DataFrame:
@@ -281,6 +282,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         jump = step.join(step.select(F.col("c").alias("m"), F.col("m").alias("mm")), "m", "left").select("c", F.coalesce("mm", "m").alias("m"))
         of = written(of.join(jump, of.component == jump.c, "left").select("node", F.coalesce("m", "component").alias("component")), True)
         lists = open_.drop("component")
+        rest_driver(docs.sparkSession)
         sizes.append(links.count())
         if sizes[-1] * FEW <= sizes[0]:
             break
@@ -292,6 +294,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     # What two sets share lies behind the first value that they share.
     linked(pairs(meet, meet, f"x.rep < y.rep AND {settings.percent} * (x.n + y.n) <= {100 + settings.percent} * least(x.n - x.pos, y.n - y.pos)"))
 
+    rest_driver(docs.sparkSession)
     # Rows of one doc_id with different texts are one node.
     nodes = members.groupBy("doc_id").agg(F.min("rep").alias("u"), F.max("rep").alias("v")).where("u <> v")
     edges = members.join(nodes.select("doc_id"), "doc_id").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textnp
-from .common import mapped, small_batches, table
+from .common import mapped, rest_driver, small_batches, table
 
 #: Labelled documents of each label for the fit.
 SAMPLE = 2000
@@ -273,6 +273,7 @@ def labelled(labels: DataFrame, name: str) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, name: str = "toxic", sample: int = SAMPLE) -> Model:
     model = Model(character_model(small_batches(docs)))
+    rest_driver(docs.sparkSession)
     every = labelled(labels, name)
     counts = {r.y: r.n for r in every.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not counts.get(0) or not counts.get(1):
@@ -310,6 +311,8 @@ def fit(docs: DataFrame, labels: DataFrame, name: str = "toxic", sample: int = S
     weight = np.array([counts[0] / max(1, (y == 0).sum()), counts[1] / max(1, (y == 1).sum())])[y]
     model.weights = fit_logistic(x, y, weight)
     model.hashes, model.evidence = fit_evidence(flat, y)
+    del rows, each, flat
+    rest_driver(docs.sparkSession)
     return model
 
 
