@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textnp
-from .common import WRITTEN, mapped, rest_driver, settled, small_batches, table, written
+from .common import WRITTEN, done_with, mapped, rest_driver, settled, small_batches, table, written
 from .graph import components
 
 K = 64
@@ -236,7 +236,7 @@ def rare_meetings(members: DataFrame, settings: Settings) -> DataFrame:
 
 #: Members that each list is held against in a round; rounds at most; and a share of the first round's links,
 #: one in so many, below which rounds end. What is left then is compared in full.
-PIVOTS, ROUNDS, FEW = 3, 8, 200
+PIVOTS, ROUNDS, FEW = 1, 8, 200
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -262,8 +262,10 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     def apart(lists: DataFrame, of: DataFrame) -> DataFrame:
         """The lists whose members are in several components."""
         rows = lists.join(of, lists.rep == of.node).select(*lists.columns, "component")
-        several = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-        return written(rows.join(written(several, True), "key"), True)
+        several = written(rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key"), True)
+        out = written(rows.join(several, "key"), True)
+        done_with(several)
+        return out
 
     def pairs(x: DataFrame, y: DataFrame, each: str) -> DataFrame:
         met = x.alias("x").join(y.alias("y"), F.expr(f"x.key = y.key AND x.component <> y.component AND {each}") & _alike(settings, "x", "y"))
@@ -277,6 +279,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         pick = [F.min_by(F.struct(*ROW, "component"), F.xxhash64(F.lit(turn * PIVOTS + i), "rep")) for i in range(PIVOTS)]
         pivots = written(open_.groupBy("key").agg(F.array_distinct(F.array(*pick)).alias("p")).select("key", F.explode("p").alias("p")).select("key", "p.*"), True)
         links = linked(pairs(pivots, open_, "true"))
+        done_with(pivots)
         # A component joins the least that it is linked to, and that one's; nodes of one label are linked, if not yet all that are.
         step = links.select(F.greatest("ca", "cb").alias("c"), F.least("ca", "cb").alias("m")).groupBy("c").agg(F.min("m").alias("m"))
         jump = step.join(step.select(F.col("c").alias("m"), F.col("m").alias("mm")), "m", "left").select("c", F.coalesce("mm", "m").alias("m"))
