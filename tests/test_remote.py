@@ -17,7 +17,7 @@ from tidewell.operators.cancel import cancellable, remote_query
 from tidewell.operators.remote import read_remote, remote_splits
 from tidewell.plans.aggregates import Agg, avg, count, count_distinct, max_, min_, stddev, sum_
 from tidewell.plans.predicates import Local, Unsupported, col, literal
-from tidewell.sources import arrow_ipc, http
+from tidewell.sources import arrow_ipc, http, local
 
 
 @pytest.fixture(scope="module")
@@ -227,3 +227,11 @@ def test_a_token_from_a_session_variable(spark, server):
 
 def test_estimated_bytes(spark, folder):
     assert 0 < read_remote(spark, folder, "orders_small").estimated_bytes() < 10**6
+
+
+def test_splits_of_a_large_file(spark, tmp_path):
+    """A file is read once for each of its splits: their number is bounded, and together they have each row once."""
+    spark.range(5000).coalesce(1).write.parquet(f"{tmp_path}/many.parquet")
+    found = [r.query for r in remote_splits(spark, str(tmp_path), "many", split_size=10).collect()]
+    assert 1 < len(found) <= local.MOST_SPLITS
+    assert sorted(r.id for q in found for r in spark.sql(q).collect()) == list(range(5000))

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 SPLIT_BYTES = 128 << 20
 
+#: Splits that are planned for a table, besides one for each of its files at least. Parquet can't be entered at a row, so a
+#: split's query reads its file from the start: ever more splits of one file would read it ever more often.
+MOST_SPLITS = 16
+
 
 def tables(spark: SparkSession, folder: str) -> list[str]:
     """The names of the tables in ``folder``, wherever Spark can read."""
@@ -55,12 +59,13 @@ def with_split(df: DataFrame, rows: int) -> DataFrame:
 def plan_splits(spark: SparkSession, folder: str, text: str, df: DataFrame, split_size: int | None, whole_table: bool) -> DataFrame:
     """The splits as rows, each with a query of its own, which ``spark.sql`` runs as it is.
 
-    A table's are ranges of rows of its files. Any other query is one split: its rows have no place in a file.
+    A table's are ranges of rows of its files, larger than ``split_size`` where there would be more than MOST_SPLITS. Any
+    other query is one split: its rows have no place in a file.
     """
     size = int(split_size or SPLIT_BYTES)
     producer = hashlib.md5(f"{folder}\0{text}\0{size}".encode()).hexdigest()
     if whole_table:
-        rows = split_rows(df, split_count(df, split_size))
+        rows = split_rows(df, min(split_count(df, split_size), MOST_SPLITS))
         files = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("n"))
         ranges = files.select("file", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / rows))).alias("k"))
         low, high = (((F.col("k") + i) * rows).cast("string") for i in (0, 1))
