@@ -140,6 +140,50 @@ def test_near_dedup_small_sets_at_the_bound(spark):
     assert near(spark.createDataFrame(own, "doc_id long, text string")) == want
 
 
+def test_near_dedup_pairs_of_a_large_group(spark, monkeypatch):
+    """Near copies that mostly differ too much from each other: few pairs for each copy, and the links of brute force."""
+    r = random.Random(8)
+    words = [f"w{r.randrange(10**6)}" for _ in range(150)]
+    own = [(k, " ".join(w if r.random() > 0.07 else f"v{r.randrange(10**6)}" for w in words)) for k in range(500)]
+    pairs, verifier = spark.sparkContext.accumulator(0), near_dedup.verifier
+
+    def counting(settings):
+        links = verifier(settings)
+
+        def counted(batches):
+            def each():
+                for b in batches:
+                    pairs.add(b.num_rows)
+                    yield b
+
+            yield from links(each())
+
+        return counted
+
+    monkeypatch.setattr(near_dedup, "verifier", counting)
+    assert near(spark.createDataFrame(own, "doc_id long, text string")) == brute.near(own)
+    assert 500 < pairs.value < 10 * 500
+
+
+def test_near_dedup_marks():
+    """Bitmaps differ in no more bits than sets in values, and bits left out of neither."""
+    import pyarrow as pa
+    import zstandard
+
+    r, settings = random.Random(9), near_dedup.Settings(width=2)
+    for n in (1, 5, 60, 300, 3000):
+        base = [f"w{r.randrange(10**6)}" for _ in range(n)]
+        texts = [" ".join(base), " ".join(w if r.random() > 0.1 else f"v{r.randrange(10**6)}" for w in base)]
+        z = [zstandard.ZstdCompressor().compress(t.encode()) for t in texts]
+        a, b = near_dedup.sets_of(z, settings)
+        batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(z)], ["rep", "z"])
+        (out,) = near_dedup.marks(iter([batch]), settings)
+        x, y = (sum((v & (1 << 64) - 1) << 64 * i for i, v in enumerate(row)) for row in out["bits"].to_pylist())
+        assert out["size"].to_pylist() == [len(a), len(b)]
+        assert (x ^ y).bit_count() <= len(set(a.tolist()) ^ set(b.tolist()))
+        assert (x & 1 << 3 != 0) == any((v >> 6) % near_dedup.MARKS == 0 and v & 63 == 3 for v in a.tolist())
+
+
 def test_near_dedup_odd(odd, nothing):
     got = near_dedup.near_duplicates(odd).collect()
     assert len(got) == len(ODD)

@@ -56,6 +56,25 @@ def written(df: DataFrame, narrow: bool = False) -> DataFrame:
     return out
 
 
+#: By folder, the names of the tables that ``bucketed`` made.
+BUCKETED: dict[str, str] = {}
+
+
+def bucketed(df: DataFrame, key: str) -> DataFrame:
+    """``df`` written in buckets of ``key``: joins on it move the other side's rows alone.
+
+    The session's catalog holds which buckets there are, the shared folder the rows.
+    """
+    path, spark, name = shared_dir(df.sparkSession), df.sparkSession, f"tidewell_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(name, format="parquet")
+    WRITTEN.append(path)
+    BUCKETED[path] = name
+    out = spark.table(name)
+    out.written_path = path
+    return out
+
+
 def done_with(*tables: DataFrame) -> None:
     """Remove tables that ``written`` made, once all that reads them is itself written."""
     drop(tables[0].sparkSession, [t.written_path for t in tables])
@@ -64,6 +83,8 @@ def done_with(*tables: DataFrame) -> None:
 def drop(spark: SparkSession, paths: list[str]) -> None:
     """Remove written tables that no DataFrame still in use reads."""
     for p in paths:
+        if p in BUCKETED:
+            spark.sql(f"DROP TABLE IF EXISTS {BUCKETED.pop(p)}")
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
     WRITTEN[:] = [p for p in WRITTEN if p not in paths]

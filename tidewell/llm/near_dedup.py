@@ -7,12 +7,14 @@ equal sets are one class, represented by its least id. Between classes:
    bucket that holds two or more are a list's key: single values are shared by chance too often. Sets of
    similarity 0.8 share some 11 of 17 such keys, and none in one of 10**8 pairs. A set of at most
    K / similarity shingles has its rarest values as keys besides, as many as any linked set must meet.
-2. *Links.* In rounds, each list is held against PIVOTS of its members, until that finds few links. Members
-   of a component need no more links, so a list whose members are in one component is done, and a group of
-   near copies of any size makes a few pairs for each copy. Then the members of lists that are still in
+2. *Links.* In rounds, each list has PIVOTS of its members, and each member is held against that pivot of its
+   lists which its digest is most like and it hasn't met, until that finds few links. Members of a component need
+   no more links, so a list whose members are in one component is done, and a group of near copies of any size
+   makes one pair for each copy and round. Then the members of lists that are still in
    several components are compared in full: under one order of their values, the rarest first, two linked sets share one of their
    first n - ceil(0.8 n) + 1 values, and have enough left behind the first that they share. Only sets that
-   meet so are pairs, so near copies that differ too much make none, and no link is lost.
+   meet so are pairs, and of these only those whose bitmaps differ in no more bits than linked sets may differ in values,
+   so near copies that differ too much make few or none, and no link is lost.
 3. A pair is held against the other by size, by a 256-bit digest of both sketches (which loses a linked pair in
    10**9 at most), by the estimate from the sketch of their union, and at last by the full sets.
 
@@ -25,7 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, reduce
 from math import comb
 
 import numpy as np
@@ -34,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textnp
-from .common import WRITTEN, done_with, mapped, rest_driver, settled, small_batches, table, written
+from .common import WRITTEN, bucketed, done_with, mapped, rest_driver, settled, small_batches, table, written
 from .graph import components
 
 K = 64
@@ -215,8 +217,32 @@ def inverted_lists(classes: DataFrame, settings: Settings) -> DataFrame:
     return every.join(several, "key").select("key", *ROW)
 
 
+#: Longs of a set's bitmap.
+MARKS = 16
+
+
+def marks(batches: Iterator[pa.RecordBatch], settings: Settings) -> Iterator[pa.RecordBatch]:
+    """(rep, z) to (rep, size, bits): the size of each set, and a bitmap in which each of its values sets a bit.
+
+    Each bit that two bitmaps differ in is of a value that one of the sets lacks, and no value makes two bits differ, so
+    their number is never above that of the values that the sets don't share.
+    """
+    for batch in batches:
+        sets = sets_of(textnp.column(batch, "z").to_pylist(), settings)
+        bits = np.zeros((len(sets), MARKS), np.uint64)
+        for row, s in zip(bits, sets):
+            np.bitwise_or.at(row, ((s >> np.uint64(6)) % np.uint64(MARKS)).astype(np.int64), np.uint64(1) << (s & np.uint64(63)))
+        yield pa.RecordBatch.from_arrays([textnp.column(batch, "rep"), pa.array([len(s) for s in sets], pa.int64()), _lists(list(bits.view(np.int64)))], ["rep", "size", "bits"])
+
+
+def _near_enough(settings: Settings, x: str, y: str) -> Column:
+    """Whether sizes and bitmaps of the aliases allow a link: a linked pair's sets differ in few values for their sizes."""
+    differ = " + ".join(f"bit_count({x}.bits[{i}] ^ {y}.bits[{i}])" for i in range(MARKS))
+    return F.expr(f"{100 + settings.percent} * ({differ}) <= {100 - settings.percent} * ({x}.size + {y}.size)")
+
+
 def rare_meetings(members: DataFrame, settings: Settings) -> DataFrame:
-    """(key, pos, rep, n, component, digest) of ``members`` (with packed texts z): the first values of each that others have too.
+    """(key, pos, rep, n, component, digest, size, bits) of ``members`` (with packed texts z): the first values of each that others have too.
 
     The order is by the number of members that have a value, then by the value; ``pos`` counts from 0.
     """
@@ -227,11 +253,12 @@ def rare_meetings(members: DataFrame, settings: Settings) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), rep, np.int64)), pa.array(s.view(np.int64))], ["rep", "value"])
 
     every = members.select("rep", "z").transform(mapped, values, "rep long, value long")
+    marked = members.select("rep", "z").transform(mapped, lambda b: marks(b, settings), "rep long, size long, bits array<long>").distinct()
     counts = written(every.groupBy("value").count().where("count > 1"), True)
     common = every.join(counts, "value").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("count", "value"))).alias("common"))
-    rows = members.select(*ROW, "component").join(common, "rep").withColumn("alone", (F.col("n") - F.size("common")).cast("int"))
+    rows = members.select(*ROW, "component").join(marked, "rep").join(common, "rep").withColumn("alone", (F.col("n") - F.size("common")).cast("int"))
     room = F.expr(f"CAST(greatest(0, n - ceil(n * {settings.percent} / 100) + 1 - alone) AS INT)")
-    return rows.select(*ROW, "component", "alone", F.posexplode(F.slice("common", 1, room)).alias("at", "v")).select(F.col("v.value").alias("key"), (F.col("alone") + F.col("at")).alias("pos"), *ROW, "component")
+    return rows.select(*ROW, "component", "size", "bits", "alone", F.posexplode(F.slice("common", 1, room)).alias("at", "v")).select(F.col("v.value").alias("key"), (F.col("alone") + F.col("at")).alias("pos"), *ROW, "component", "size", "bits")
 
 
 #: Members that each list is held against in a round; rounds at most; and a share of the first round's links,
@@ -250,15 +277,27 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     reps = some.join(members.where("doc_id = rep").select("rep").distinct(), F.col("doc_id") == F.col("rep"), "left_semi").withColumnRenamed("doc_id", "rep")
     lists = written(inverted_lists(reps, settings), True)
     of = lists.select(F.col("rep").alias("node"), F.col("rep").alias("component")).distinct()
-    texts = written(docs.transform(mapped, packed, "doc_id long, z binary").join(of, F.col("doc_id") == F.col("node"), "left_semi"))
+    texts = bucketed(docs.transform(mapped, packed, "doc_id long, z binary").join(of, F.col("doc_id") == F.col("node"), "left_semi"), "doc_id")
     rest_driver(docs.sparkSession)
-    found = []
+    found, tried = [], []
 
     def linked(pairs: DataFrame) -> DataFrame:
-        full = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("z").alias("za")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("z").alias("zb")), "b")
-        found.append(written(full.select("a", "b", "ca", "cb", "za", "zb").transform(mapped, verifier(settings), "a long, b long, ca long, cb long").distinct(), True))
+        """The links among ``pairs``. Of the texts only those in pairs are moved, that of ``a`` once before it meets its pairs."""
+        tried.append(pairs := written(pairs, True))
+        near = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("z").alias("zb")), "b")
+        other = pairs.select("a").distinct().join(texts.select(F.col("doc_id").alias("a"), F.col("z").alias("za")), "a")
+        full = near.join(other, "a").select("a", "b", "ca", "cb", "za", "zb")
+        found.append(written(full.transform(mapped, verifier(settings), "a long, b long, ca long, cb long").distinct(), True))
         return found[-1]
 
+    def untried(met: DataFrame) -> DataFrame:
+        """Of (a, b) those that no earlier round held against each other, in either order."""
+        if tried:
+            old = reduce(DataFrame.unionAll, (t.select("a", "b") for t in tried))
+            old = old.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
+            met = met.join(old, (F.least("a", "b") == old.lo) & (F.greatest("a", "b") == old.hi), "left_anti")
+        return met
+
     def apart(lists: DataFrame, of: DataFrame) -> DataFrame:
         """The lists whose members are in several components."""
         rows = lists.join(of, lists.rep == of.node).select(*lists.columns, "component")
@@ -267,18 +306,26 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         done_with(several)
         return out
 
-    def pairs(x: DataFrame, y: DataFrame, each: str) -> DataFrame:
-        met = x.alias("x").join(y.alias("y"), F.expr(f"x.key = y.key AND x.component <> y.component AND {each}") & _alike(settings, "x", "y"))
-        one, other = F.struct("x.rep", "x.component"), F.struct("y.rep", "y.component")
-        met = met.select(F.least(one, other).alias("p"), F.greatest(one, other).alias("q")).distinct()
-        return met.select(F.col("p.rep").alias("a"), F.col("q.rep").alias("b"), F.col("p.component").alias("ca"), F.col("q.component").alias("cb"))
+    def held(pivots: DataFrame, members: DataFrame, turn: int) -> DataFrame:
+        """Each member with the one of its lists' pivots that its digest is most like: as many pairs as members at most."""
+        met = pivots.alias("x").join(members.alias("y"), F.expr("x.key = y.key AND x.component <> y.component") & _alike(settings, "x", "y"))
+        bits = F.expr(" + ".join(f"bit_count(x.{d} & y.{d})" for d in DIGEST)).alias("bits")
+        met = untried(met.select(bits, F.col("x.rep").alias("a"), F.col("x.component").alias("ca"), F.col("y.rep").alias("b"), F.col("y.component").alias("cb")))
+        best = met.groupBy("b").agg(F.max(F.struct("bits", F.xxhash64(F.lit(turn), "a").alias("h"), "a", "ca", "cb")).alias("m"))
+        return best.select("m.a", "b", "m.ca", "m.cb")
+
+    def every(meet: DataFrame) -> DataFrame:
+        """The pairs that may be linked: what two sets share lies behind the first value that they share, and bitmaps differ little."""
+        each = f"x.key = y.key AND x.component <> y.component AND x.rep < y.rep AND {settings.percent} * (x.n + y.n) <= {100 + settings.percent} * least(x.n - x.pos, y.n - y.pos)"
+        met = meet.alias("x").join(meet.alias("y"), F.expr(each) & _alike(settings, "x", "y") & _near_enough(settings, "x", "y"))
+        return untried(met.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), F.col("x.component").alias("ca"), F.col("y.component").alias("cb")).distinct())
 
     sizes: list[int] = []
     for turn in range(ROUNDS):
         open_ = apart(lists, of) if turn else lists.withColumn("component", F.col("rep"))
         pick = [F.min_by(F.struct(*ROW, "component"), F.xxhash64(F.lit(turn * PIVOTS + i), "rep")) for i in range(PIVOTS)]
         pivots = written(open_.groupBy("key").agg(F.array_distinct(F.array(*pick)).alias("p")).select("key", F.explode("p").alias("p")).select("key", "p.*"), True)
-        links = linked(pairs(pivots, open_, "true"))
+        links = linked(held(pivots, open_, turn))
         done_with(pivots)
         # A component joins the least that it is linked to, and that one's; nodes of one label are linked, if not yet all that are.
         step = links.select(F.greatest("ca", "cb").alias("c"), F.least("ca", "cb").alias("m")).groupBy("c").agg(F.min("m").alias("m"))
@@ -294,8 +341,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     left = open_.alias("x").join(open_.alias("y"), some_partner, "left_semi").select(*ROW, "component").distinct()
     left = written(left.join(texts, left.rep == texts.doc_id).select(*ROW, "component", "z"))
     meet = written(rare_meetings(left, settings), True)
-    # What two sets share lies behind the first value that they share.
-    linked(pairs(meet, meet, f"x.rep < y.rep AND {settings.percent} * (x.n + y.n) <= {100 + settings.percent} * least(x.n - x.pos, y.n - y.pos)"))
+    linked(every(meet))
 
     rest_driver(docs.sparkSession)
     # Rows of one doc_id with different texts are one node.
