@@ -165,6 +165,27 @@ def test_near_dedup_pairs_of_a_large_group(spark, monkeypatch):
     assert 500 < pairs.value < 10 * 500
 
 
+def test_near_dedup_holds_each_pair_once(spark, monkeypatch):
+    """Copies of a group meet in many lists: a pair is one row where it is looked for among the pairs already held."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    r = random.Random(10)
+    words = [f"w{r.randrange(10**6)}" for _ in range(150)]
+    own = [(k, " ".join(w if r.random() > 0.03 else f"v{r.randrange(10**6)}" for w in words)) for k in range(120)]
+    join, seen = DataFrame.join, []
+
+    def counted(self, other, on=None, how=None):
+        if how == "left_anti":
+            pair = ("lo", "hi") if "lo" in self.columns else ("a", "b")
+            seen.append((self.count(), self.select(F.least(*pair), F.greatest(*pair)).distinct().count()))
+        return join(self, other, on, how)
+
+    monkeypatch.setattr(DataFrame, "join", counted)
+    assert near(spark.createDataFrame(own, "doc_id long, text string")) == brute.near(own)
+    assert seen and max(seen)[0] > 0
+    assert all(rows == pairs for rows, pairs in seen)
+
+
 def test_near_dedup_marks():
     """Bitmaps differ in no more bits than sets in values, and bits left out of neither."""
     import pyarrow as pa

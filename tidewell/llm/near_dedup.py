@@ -291,11 +291,10 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         return found[-1]
 
     def untried(met: DataFrame) -> DataFrame:
-        """Of (a, b) those that no earlier round held against each other, in either order."""
+        """Of pairs (lo, hi) those that no earlier round held against each other."""
         if tried:
-            old = reduce(DataFrame.unionAll, (t.select("a", "b") for t in tried))
-            old = old.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
-            met = met.join(old, (F.least("a", "b") == old.lo) & (F.greatest("a", "b") == old.hi), "left_anti")
+            old = reduce(DataFrame.unionAll, (t.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")) for t in tried))
+            met = met.join(old, ["lo", "hi"], "left_anti")
         return met
 
     def apart(lists: DataFrame, of: DataFrame) -> DataFrame:
@@ -310,7 +309,11 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         """Each member with the one of its lists' pivots that its digest is most like: as many pairs as members at most."""
         met = pivots.alias("x").join(members.alias("y"), F.expr("x.key = y.key AND x.component <> y.component") & _alike(settings, "x", "y"))
         bits = F.expr(" + ".join(f"bit_count(x.{d} & y.{d})" for d in DIGEST)).alias("bits")
-        met = untried(met.select(bits, F.col("x.rep").alias("a"), F.col("x.component").alias("ca"), F.col("y.rep").alias("b"), F.col("y.component").alias("cb")))
+        # Near copies meet one pivot in many lists: each pair is one row, whichever its lists, before it is looked for among those tried.
+        once = met.select(bits, F.col("x.rep").alias("a"), F.col("x.component").alias("ca"), F.col("y.rep").alias("b"), F.col("y.component").alias("cb")).groupBy(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
+        sides = [F.expr(f"max({v}) AS {n}") for v, n in (("bits", "bits"), ("IF(a < b, ca, cb)", "clo"), ("IF(a < b, cb, ca)", "chi"), ("b > a", "up"), ("b < a", "down"))]
+        ways = "IF(up, named_struct('a', lo, 'ca', clo, 'b', hi, 'cb', chi), NULL), IF(down, named_struct('a', hi, 'ca', chi, 'b', lo, 'cb', clo), NULL)"
+        met = untried(once.agg(*sides)).select("bits", F.expr(f"inline(filter(array({ways}), w -> w IS NOT NULL))"))
         best = met.groupBy("b").agg(F.max(F.struct("bits", F.xxhash64(F.lit(turn), "a").alias("h"), "a", "ca", "cb")).alias("m"))
         return best.select("m.a", "b", "m.ca", "m.cb")
 
@@ -318,7 +321,8 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         """The pairs that may be linked: what two sets share lies behind the first value that they share, and bitmaps differ little."""
         each = f"x.key = y.key AND x.component <> y.component AND x.rep < y.rep AND {settings.percent} * (x.n + y.n) <= {100 + settings.percent} * least(x.n - x.pos, y.n - y.pos)"
         met = meet.alias("x").join(meet.alias("y"), F.expr(each) & _alike(settings, "x", "y") & _near_enough(settings, "x", "y"))
-        return untried(met.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), F.col("x.component").alias("ca"), F.col("y.component").alias("cb")).distinct())
+        once = met.groupBy(F.col("x.rep").alias("lo"), F.col("y.rep").alias("hi")).agg(F.max("x.component").alias("ca"), F.max("y.component").alias("cb"))
+        return untried(once).select(F.col("lo").alias("a"), F.col("hi").alias("b"), "ca", "cb")
 
     sizes: list[int] = []
     for turn in range(ROUNDS):
