@@ -186,6 +186,15 @@ def test_near_dedup_holds_each_pair_once(spark, monkeypatch):
     assert all(rows == pairs for rows, pairs in seen)
 
 
+def test_functions_for_workers_are_small(spark):
+    """Each function sent to the workers lies on every disk: none carries a table of megabytes."""
+    from pyspark.cloudpickle import dumps
+
+    config = near_dedup.Settings()
+    sent = [near_dedup.verifier(config), near_dedup.packed, lambda b: near_dedup.sketches(b, config.width, config.k, 80), lambda b: near_dedup.marks(b, config)]
+    assert max(len(dumps(f)) for f in sent) < 1 << 20
+
+
 def test_near_dedup_marks():
     """Bitmaps differ in no more bits than sets in values, and bits left out of neither."""
     import pyarrow as pa

@@ -22,6 +22,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 #: Bytes of text worked on at a time; a longer text is one piece.
 PIECE = 1 << 19
+#: Powers that a worker keeps. They are made there: a module's tables travel with each function that is sent to the workers.
+POWERS = 1 << 20
 
 
 def kept(key: str, make):
@@ -105,10 +107,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 def span_sums(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of the bytes of each span, by sums over all of ``data``: of few temporary numbers for each byte."""
     n = len(data)
-    if n > len(_UP):
-        up, down = powers(n), powers(n, MULT_INV)
-    else:
-        up, down = _UP, _DOWN
+    up, down = kept("powers", lambda: (powers(POWERS), powers(POWERS, MULT_INV))) if n <= POWERS else (powers(n), powers(n, MULT_INV))
     sums = np.zeros(n + 1, np.uint64)
     value = BYTE[data]
     value *= down[:n]
@@ -116,6 +115,3 @@ def span_sums(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     out = sums[ends] - sums[starts]
     out *= up[np.minimum(starts, max(0, n - 1))] if n else np.uint64(1)
     return mix(out + (ends - starts).astype(np.uint64))
-
-
-_UP, _DOWN = powers(1 << 20), powers(1 << 20, MULT_INV)
