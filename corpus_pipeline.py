@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm import decontaminate, mixture, near_dedup, token_output, toxicity
-from tidewell.llm.common import WRITTEN, drop, rest, shared_dir, table, written
+from tidewell.llm.common import WRITTEN, apart_by_bits, drop, rest, shared_dir, table, written
 
 
 def _unused(docs: DataFrame, name: str) -> str:
@@ -45,12 +45,14 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     own = F.col("doc_id").isNull() | F.col("lo").isNotNull() & (F.col("lo") != h)
     number = F.when(own, F.lit(OWN) + h.bitwiseAND(F.lit(OWN - 1))).otherwise(F.col("doc_id"))
     keyed = named.select(*(docs[f"`{c}`"] for c in docs.columns), number.alias(key))
-    kept = near_dedup.near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text")).where("kept").groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias("rows"))
-    kept = written(kept, True)
-    once = keyed.join(kept.where("rows = 1").select(key), key, "left_semi")
-    several = kept.where("rows > 1").select(key)
+    found = near_dedup.near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text")).groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias("rows"), F.bool_or("kept").alias("kept"))
+    # Most rows stay and are the only ones of their key: those of which this is sure don't move.
+    others = written(found.where("rows > 1 OR NOT kept"), True)
+    sure, open_ = apart_by_bits(keyed, key, others.select(key))
+    once = sure.unionByName(open_.join(others.select(key), key, "left_anti"))
+    several = others.where("kept").select(key)
     if several.take(1):
-        once = once.unionByName(keyed.join(several, key, "left_semi").dropDuplicates([key]))
+        once = once.unionByName(open_.join(several, key, "left_semi").dropDuplicates([key]))
     return once.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 

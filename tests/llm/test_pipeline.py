@@ -11,7 +11,7 @@ from conftest import DATA
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidewell.llm import mixture, toxicity
+from tidewell.llm import common, mixture, toxicity
 from tidewell.llm.queries import ORACLE_SQL, QUERIES
 
 
@@ -84,6 +84,52 @@ def test_near_dedup_stage_on_odd_rows(spark, odd):
     assert sorted(kept, key=str) == sorted([(900_006, "same text here, twice over and over"), (None, "a row without an id, and some words in it"), (None, None)], key=str)
 
 
+def moved_texts(df):
+    """Runs ``df``; the rows with a text that its shuffles moved."""
+
+    def of(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return of(node.executedPlan())
+        if kind == "ShuffleQueryStageExec":
+            return of(node.plan())
+        own = node.metrics().apply("shuffleRecordsWritten").value() if kind == "ShuffleExchangeExec" and "text#" in node.output().toString() else 0
+        return own + sum(of(node.children().apply(i)) for i in range(node.children().size()))
+
+    plan = df._jdf.queryExecution()
+    plan.toRdd().count()
+    return of(plan.executedPlan())
+
+
+def test_near_dedup_stage_moves_few_texts(spark):
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", *(F.sha1((F.col("id") * 10 + i).cast("string")) for i in range(10))).alias("text"))
+    copies = docs.where("doc_id < 100").withColumn("doc_id", F.col("doc_id") + 5000)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = corpus_pipeline.near_dedup_stage(spark, docs.union(copies), DATA)
+        assert moved_texts(out) < 300
+        assert sorted(r.doc_id for r in out.collect()) == list(range(2000))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("rows", [common.BIT_ROWS, 1])
+def test_apart_by_bits(spark, monkeypatch, rows):
+    monkeypatch.setattr(common, "BIT_ROWS", rows)
+    df = spark.createDataFrame([(i if i % 10 else None, "k", i) for i in range(-300, 300)], "doc_id long, bits_set string, `a.b` int")
+    some = spark.createDataFrame([(i,) for i in (*range(-300, 300, 7), None, 7, 7)], "i long")
+    surely, may = common.apart_by_bits(df, "doc_id", some)
+    assert surely.columns == may.columns == df.columns
+    key = lambda rows: sorted(map(tuple, rows), key=str)
+    assert key(surely.union(may).collect()) == key(df.collect())
+    inside = {r.i for r in some.where("i IS NOT NULL").collect()}
+    first = surely.collect()
+    assert not inside & {r.doc_id for r in first} and len(first) > (450 if rows > 1 else 59)
+    none = common.apart_by_bits(df, "doc_id", some.where("false"))
+    assert none[0].count() == 600 and none[1].count() == 0
+
+
 def test_decontamination_stage_on_odd_rows(spark, odd):
     text = spark.read.parquet(f"{DATA}/benchmark.parquet").where("text IS NOT NULL").head().text
     bad = spark.createDataFrame([(None, text), (900_012, text)], "doc_id long, text string")

@@ -75,6 +75,25 @@ def bucketed(df: DataFrame, key: str) -> DataFrame:
     return out
 
 
+#: Rows of 64 bits that ``apart_by_bits`` broadcasts, at most.
+BIT_ROWS = 1 << 18
+
+
+def apart_by_bits(df: DataFrame, key: str, some: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``df`` whose ``key`` is surely no value of ``some`` (a table of one column), and those whose may be one.
+
+    The second are all that are and others by chance, so that only they need move for a join with ``some``. Each value sets
+    one bit by its hash, in a table of BIT_ROWS rows at most, which is broadcast: the fuller it is, the more rows may be.
+    """
+    at, own = (f"bits_{uuid.uuid4().hex}" for _ in range(2))  # names of no column of df
+    place, bit = f"CAST(pmod(xxhash64(`{{0}}`), {BIT_ROWS}) AS INT)", f"CAST(pmod(xxhash64(`{{0}}`) DIV {BIT_ROWS}, 64) AS INT)"
+    name = some.columns[0]
+    bits = some.where(f"`{name}` IS NOT NULL").groupBy(F.expr(place.format(name)).alias(at)).agg(F.expr(f"bit_or(shiftleft(1L, {bit.format(name)}))").alias(own))
+    marked = df.join(F.broadcast(written(bits, True)), F.expr(place.format(key)) == F.col(at), "left")
+    may = F.coalesce(F.expr(f"getbit({own}, {bit.format(key)}) = 1") & F.col(f"`{key}`").isNotNull(), F.lit(False))
+    return tuple(marked.where(w).select(*(F.col(f"`{c}`") for c in df.columns)) for w in (~may, may))
+
+
 def done_with(*tables: DataFrame) -> None:
     """Remove tables that ``written`` made, once all that reads them is itself written."""
     drop(tables[0].sparkSession, [t.written_path for t in tables])

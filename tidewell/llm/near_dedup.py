@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textnp
-from .common import WRITTEN, bucketed, done_with, mapped, rest_driver, settled, small_batches, table, written
+from .common import WRITTEN, apart_by_bits, bucketed, done_with, mapped, rest_driver, settled, small_batches, table, written
 from .graph import components
 
 K = 64
@@ -277,7 +277,8 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     reps = some.join(members.where("doc_id = rep").select("rep").distinct(), F.col("doc_id") == F.col("rep"), "left_semi").withColumnRenamed("doc_id", "rep")
     lists = written(inverted_lists(reps, settings), True)
     of = lists.select(F.col("rep").alias("node"), F.col("rep").alias("component")).distinct()
-    texts = bucketed(docs.transform(mapped, packed, "doc_id long, z binary").join(of, F.col("doc_id") == F.col("node"), "left_semi"), "doc_id")
+    listed = apart_by_bits(docs, "doc_id", of.select("node"))[1]
+    texts = bucketed(listed.transform(mapped, packed, "doc_id long, z binary").join(of, F.col("doc_id") == F.col("node"), "left_semi"), "doc_id")
     rest_driver(docs.sparkSession)
     found, tried = [], []
 
