@@ -12,6 +12,7 @@ from pathlib import Path
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from tidewell.operators.cancel import cancellable, remote_query
 from tidewell.operators.remote import read_remote, remote_splits
@@ -235,3 +236,29 @@ def test_splits_of_a_large_file(spark, tmp_path):
     found = [r.query for r in remote_splits(spark, str(tmp_path), "many", split_size=10).collect()]
     assert 1 < len(found) <= local.MOST_SPLITS
     assert sorted(r.id for q in found for r in spark.sql(q).collect()) == list(range(5000))
+
+
+def test_splits_skip_rows_by_a_key(spark, tmp_path):
+    """Splits of a file that is stored by a key read few rows but their own; any others, all. Together each row comes once."""
+    n = 100_000
+    stored = spark.range(n).coalesce(1).selectExpr("'x' AS s", "id + -9223372036854775808 AS `a``key`", "id AS place")
+    apart = stored.withColumn("a`key", F.expr("pmod(place * 7919, 100000)"))
+    sparse = stored.withColumn("a`key", F.expr("IF(place % 40000 = 0, NULL, place)"))
+    for name, df, few in (("stored", stored, True), ("apart", apart, False), ("sparse", sparse, True)):
+        df.write.option("parquet.block.size", 20_000).option("parquet.enable.dictionary", "false").parquet(f"{tmp_path}/{name}.parquet")
+        parts = [spark.sql(r.query).select("place") for r in remote_splits(spark, str(tmp_path), name, split_size=1).collect()]
+        assert len(parts) == local.MOST_SPLITS
+        assert sorted(r.place for p in parts for r in p.collect()) == list(range(n))
+        read = sum(p._jdf.queryExecution().executedPlan().collectLeaves().head().metrics().apply("numOutputRows").value() for p in parts)
+        assert (read < 5 * n) == few, (name, read)
+
+
+def test_splits_of_many_files(spark, tmp_path):
+    """Files of unlike sizes: small ones are read whole, large ones in ranges; a table without rows has no split."""
+    for low, high in ((0, 10), (10, 2000), (2000, 3000)):
+        spark.range(low, high).coalesce(1).write.mode("append").parquet(f"{tmp_path}/files.parquet")
+    found = [r.query for r in remote_splits(spark, str(tmp_path), "files", split_size=1).collect()]
+    assert len(found) > 3 and sum("WHERE" not in q for q in found) == 1
+    assert sorted(r.id for q in found for r in spark.sql(q).collect()) == list(range(3000))
+    spark.range(0).write.parquet(f"{tmp_path}/none.parquet")
+    assert remote_splits(spark, str(tmp_path), "none", split_size=1).count() == 0

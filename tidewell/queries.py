@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -208,18 +210,27 @@ def split_vs_nonsplit(spark, d):
     return whole.crossJoin(parts).select((F.col("n") == F.col("n2")).alias("same_count"), (F.col("s") == F.col("s2")).alias("same_sum"), "n")  # one row each
 
 
+def _together(spark, found: DataFrame, *columns) -> DataFrame:
+    """The rows that the queries of splits give, opened side by side, as each reads a file's schema."""
+    queries = [r.query for r in found.select("query").collect()]  # a row for each split
+    with ThreadPoolExecutor(8) as pool:
+        parts = list(pool.map(inheritable_thread_target(spark)(lambda q: spark.sql(q).select(*columns)), queries))
+    while len(parts) > 1:  # in pairs, as each union is analysed with all that it is of
+        parts = [reduce(DataFrame.unionAll, parts[i : i + 2]) for i in range(0, len(parts), 2)]
+    return parts[0]
+
+
 @query("SELECT l_orderkey, l_linenumber FROM lineitem")
 def split_scan_covers(spark, d):
     """Each split's own query, and their union."""
-    found = remote_splits(spark, d, "lineitem", split_size=200_000).select("query").collect()  # a row for each split
-    return reduce(DataFrame.unionAll, (spark.sql(r.query).select("l_orderkey", "l_linenumber") for r in found))
+    return _together(spark, remote_splits(spark, d, "lineitem", split_size=200_000), "l_orderkey", "l_linenumber")
 
 
 @query("SELECT true AS own_ids, true AS sound, count(*) AS n_rows FROM lineitem")
 def splits(spark, d):
     """The splits of a table: their ids and checksums, and the rows that their queries give together."""
     found = remote_splits(spark, d, "lineitem", split_size=200_000)
-    rows = reduce(DataFrame.unionAll, (spark.sql(r.query).select(F.lit(1)) for r in found.select("query").collect()))
+    rows = _together(spark, found, F.lit(1))
     said = found.agg((F.count("*") == F.count_distinct("query_id")).alias("own_ids"), F.bool_and(F.md5("query") == F.col("query_checksum")).alias("sound"))
     return said.crossJoin(rows.agg(F.count("*").alias("n_rows")))  # one row each
 

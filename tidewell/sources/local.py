@@ -7,11 +7,15 @@ import math
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
+
+from ..plans.predicates import quoted
 
 SPLIT_BYTES = 128 << 20
 
 #: Splits that are planned for a table, besides one for each of its files at least. Parquet can't be entered at a row, so a
-#: split's query reads its file from the start: ever more splits of one file would read it ever more often.
+#: split's query reads its file from the start, but for row groups that a key rules out: ever more splits of one file would
+#: read it ever more often.
 MOST_SPLITS = 16
 
 
@@ -56,6 +60,38 @@ def with_split(df: DataFrame, rows: int) -> DataFrame:
     return df.select("*", F.concat_ws("#", "_metadata.file_path", F.floor(F.col("_metadata.row_index") / rows).cast("string")).alias("split_id"))
 
 
+def split_queries(df: DataFrame, most: int) -> list[str]:
+    """A query for each split of a table: ranges of rows of its files, some ``most`` or one for each file.
+
+    Where rows are stored more or less by their first column of whole numbers, a range's query also says between which of
+    its values the rows are, by which Parquet skips row groups; Spark makes the row numbers of the others alone.
+    """
+    path = "_metadata.file_path"
+    first = df.select(path).head()
+    if first is None:
+        return []
+    file = (F.lit(first[0]) if len(df.inputFiles()) == 1 else F.col(path)).alias("file")
+    sizes = {r.file: r.n for r in df.groupBy(file).agg(F.count("*").alias("n")).collect()}
+    rows = max(1, math.ceil(sum(sizes.values()) / most))
+    large = [f for f, n in sizes.items() if n > rows]  # fewer than ``most``
+    key = next((quoted(f.name, "`") for f in df.schema if isinstance(f.dataType, (ByteType, ShortType, IntegerType, LongType))), None)
+    between: dict[tuple[str, int], str] = {}
+    if key and large:
+        part = F.expr(f"_metadata.row_index div {rows}").alias("k")
+        aggs = F.min(key).alias("low"), F.max(key).alias("high"), F.count_if(F.isnull(key)).alias("nulls")
+        found = df.where(F.col(path).isin(large)).groupBy(file, part).agg(*aggs).where("nulls = 0").collect()
+        ends = {f: [x for r in found if r.file == f for x in (r.low, r.high)] for f in large}
+        for r in found:
+            if 2 * (r.high - r.low) < max(ends[r.file]) - min(ends[r.file]):  # else most row groups would be read all the same
+                between[r.file, r.k] = f" AND {key} BETWEEN {r.low} AND {r.high}"
+    out = []
+    for f, n in sizes.items():
+        own = f"SELECT * FROM parquet.{quoted(f, '`')}"
+        ranges = [f" WHERE _metadata.row_index >= {k * rows} AND _metadata.row_index < {(k + 1) * rows}{between.get((f, k), '')}" for k in range(math.ceil(n / rows))]
+        out += [own + r for r in ranges] if len(ranges) > 1 else [own]
+    return out
+
+
 def plan_splits(spark: SparkSession, folder: str, text: str, df: DataFrame, split_size: int | None, whole_table: bool) -> DataFrame:
     """The splits as rows, each with a query of its own, which ``spark.sql`` runs as it is.
 
@@ -64,15 +100,8 @@ def plan_splits(spark: SparkSession, folder: str, text: str, df: DataFrame, spli
     """
     size = int(split_size or SPLIT_BYTES)
     producer = hashlib.md5(f"{folder}\0{text}\0{size}".encode()).hexdigest()
-    if whole_table:
-        rows = split_rows(df, min(split_count(df, split_size), MOST_SPLITS))
-        files = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("n"))
-        ranges = files.select("file", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / rows))).alias("k"))
-        low, high = (((F.col("k") + i) * rows).cast("string") for i in (0, 1))
-        own = F.concat(F.lit("SELECT * FROM parquet.`"), F.col("file"), F.lit("` WHERE _metadata.row_index >= "), low, F.lit(" AND _metadata.row_index < "), high)
-        out = ranges.select(own.alias("query"))
-    else:
-        out = spark.createDataFrame([(text,)], "query string")
+    found = split_queries(df, min(split_count(df, split_size), MOST_SPLITS)) if whole_table else [text]
+    out = spark.createDataFrame([(q,) for q in found], "query string")
     digest = F.md5(F.col("query"))
     return out.select(
         F.array(F.lit(folder)).alias("endpoints"), F.conv(F.substring(digest, 1, 15), 16, 10).cast("long").alias("query_id"), "query",
